@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.functions.lookup import HashedMap, bound, bounded_rows, key_hash, literal
+from newslens.functions.lookup import HashedMap, bound, bounded_rows, key_hash
 
 Scorer = Callable[[Column], Column]
 
@@ -54,6 +54,9 @@ NEGATIONS = (
     "rarely seldom despite"
 ).split()
 
+DEGREES = {**dict.fromkeys(INTENSIFIERS, DEGREE_STEP), **dict.fromkeys(DAMPENERS, -DEGREE_STEP)}
+WORD_FACTS = "struct<v:double,d:double,neg:boolean>"
+
 
 def sentiment_label(score: Column) -> Column:
     """positive, negative or neutral; no score is neutral."""
@@ -83,8 +86,9 @@ def word_tokens(text: Column) -> Column:
 class Lexicon:
     """A word list ready to be used in expressions. Build it with ``Lexicon.load``."""
 
-    def __init__(self, entries: HashedMap):
-        self._entries = entries
+    def __init__(self, valences: HashedMap, described: HashedMap):
+        self._valences = valences
+        self._described = described
 
     @staticmethod
     def clean(table: DataFrame) -> DataFrame:
@@ -98,17 +102,28 @@ class Lexicon:
 
     @classmethod
     def load(cls, table: DataFrame) -> "Lexicon":
-        rows = bounded_rows(cls.clean(table).select("token", "valence", key_hash("token").alias("hash")))
+        fixed = F.split(F.lit(" ".join([*DEGREES, *NEGATIONS])), " ")
+        fixed_words = table.sparkSession.range(1).select(F.explode(fixed).alias("token"), F.lit(None).alias("valence"))
+        words = cls.clean(table).unionByName(fixed_words)
+        rows = bounded_rows(words.select("token", "valence", key_hash("token").alias("hash")))
         if rows is None:
             raise ValueError("word list too large for an expression: score with lexicon_scores_by_join")
-        return cls(HashedMap.build(((row["token"], row["hash"], row["valence"]) for row in rows), "double"))
+        hashes = {row["token"]: row["hash"] for row in rows}
+        valences = {row["token"]: row["valence"] for row in rows if row["valence"] is not None}
+        described = {
+            word: {"v": valences.get(word), "d": DEGREES.get(word, 0.0), "neg": word in NEGATIONS} for word in hashes
+        }
+        return cls(
+            HashedMap.build(((word, hashes[word], valence) for word, valence in valences.items()), "double"),
+            HashedMap.build(((word, hashes[word], facts) for word, facts in described.items()), WORD_FACTS),
+        )
 
     def core_score(self, text: Column) -> Column:
         """Lexicon core: null or blank text scores 0. Valences are summed as whole ten-thousandths, so exactly."""
         units = F.aggregate(
             word_tokens(F.coalesce(text, F.lit(""))),
             F.lit(0).cast("bigint"),
-            lambda acc, word: acc + valence_units(F.coalesce(self._entries.get(word), F.lit(0.0))),
+            lambda acc, word: acc + valence_units(F.coalesce(self._valences.get(word), F.lit(0.0))),
         )
         return normalised(units / F.lit(10000.0))
 
@@ -122,20 +137,19 @@ class Lexicon:
         return bound(described, lambda info: _compound(info, text))
 
     def _describe(self, word: Column) -> Column:
-        degrees = literal(
-            {**{w: DEGREE_STEP for w in INTENSIFIERS}, **{w: -DEGREE_STEP for w in DAMPENERS}}, "map<string,double>"
-        )
-        negations = literal(NEGATIONS, "array<string>")
-        return bound(
-            F.lower(word),
-            lambda low: F.struct(
-                low.alias("w"),
-                self._entries.get(low).alias("v"),
-                F.coalesce(F.try_element_at(degrees, low), F.lit(0.0)).alias("d"),
-                (F.array_contains(negations, low) | low.contains("n't")).alias("neg"),
-                ((word == F.upper(word)) & (word != low)).alias("caps"),
-            ),
-        )
+        def facts(low: Column) -> Column:
+            return bound(
+                self._described.get(low),
+                lambda known: F.struct(
+                    low.alias("w"),
+                    known["v"].alias("v"),
+                    F.coalesce(known["d"], F.lit(0.0)).alias("d"),
+                    (F.coalesce(known["neg"], F.lit(False)) | low.contains("n't")).alias("neg"),
+                    ((word == F.upper(word)) & (word != low)).alias("caps"),
+                ),
+            )
+
+        return bound(F.lower(word), facts)
 
 
 def valence_units(valence: Column) -> Column:
@@ -155,31 +169,26 @@ def _one_of(word: Column, *choices: str) -> Column:
 
 
 def _compound(info: Column, text: Column) -> Column:
-    caps_seen = F.exists(info, lambda t: t["caps"])
-    mixed_caps = caps_seen & ~F.forall(info, lambda t: t["caps"])
+    """Compound score of the described words of a text."""
+    mixed_caps = F.exists(info, lambda t: t["caps"]) & ~F.forall(info, lambda t: t["caps"])
     but_at = F.array_position(F.transform(info, lambda t: t["w"]), "but")
 
-    def contrasted(valence: Column, at: Column) -> Column:
-        place = at + 1
-        return (
-            F.when((but_at > 0) & (place < but_at), valence * BEFORE_BUT)
-            .when((but_at > 0) & (place > but_at), valence * AFTER_BUT)
-            .otherwise(valence)
-        )
-
-    def valences(mixed: Column) -> Column:
-        return F.transform(info, lambda token, at: contrasted(_token_valence(info, token, at, mixed), at))
+    def contrasted(valence: Column, place: Column, but_at: Column) -> Column:
+        weight = F.when((but_at == 0) | (place == but_at), 1.0).when(place < but_at, BEFORE_BUT).otherwise(AFTER_BUT)
+        return valence * weight
 
-    total = bound(
-        mixed_caps, lambda mixed: F.aggregate(valences(mixed), F.lit(0.0), lambda acc, valence: acc + valence)
-    )
+    def total(seen: Column) -> Column:
+        valences = F.transform(
+            info, lambda token, at: contrasted(_token_valence(info, token, at, seen["mixed"]), at + 1, seen["but_at"])
+        )
+        return F.aggregate(valences, F.lit(0.0), lambda acc, valence: acc + valence)
 
     def finished(total: Column) -> Column:
         marks = _punctuation(text)
         emphasised = F.when(total > 0, total + marks).when(total < 0, total - marks).otherwise(total)
         return bound(emphasised, normalised)
 
-    return bound(total, finished)
+    return bound(bound(F.struct(mixed_caps.alias("mixed"), but_at.alias("but_at")), total), finished)
 
 
 def _punctuation(text: Column) -> Column:
@@ -223,11 +232,9 @@ def _neighbour_rule(step: int, neighbour: Column, first: Column, second: Column,
     word = (first, second, third)[step]
 
     def apply(value: Column) -> Column:
-        degree = neighbour["d"] + F.when(
-            neighbour["caps"] & mixed & (neighbour["d"] != 0.0), F.when(value > 0, CAPS_STEP).otherwise(-CAPS_STEP)
-        ).otherwise(0.0)
+        caps = F.when(neighbour["caps"] & mixed, F.when(value > 0, CAPS_STEP).otherwise(-CAPS_STEP)).otherwise(0.0)
         degree = F.when(neighbour["d"] == 0.0, 0.0).otherwise(
-            F.when(value < 0, -neighbour["d"]).otherwise(neighbour["d"]) + (degree - neighbour["d"])
+            F.when(value < 0, -neighbour["d"]).otherwise(neighbour["d"]) + caps
         )
         moved = value + degree * DISTANCE_DAMPING[step]
         between = [first, second][:step]

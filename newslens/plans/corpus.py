@@ -39,6 +39,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents, spread over the cores if the file has fewer splits than there are cores.
+
+    Matching and scoring are bound by the processor, and a small file of one split would keep all but one core idle. A
+    table with enough splits is left where it lies: at scale there is no shuffle here.
+    """
+    rows = table(spark, sf, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, "doc_id") if rows.rdd.getNumPartitions() < cores else rows
+
+
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -82,7 +93,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
     provider = F.when(F.col("lang") == "en", "newsapi").when(F.col("lang") == "de", "rss").when(
         F.col("lang") == "fr", "gdelt"
     )
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").alias("article_id"),
         provider.alias("provider"),
         message_key(url).alias("provider_article_id"),

@@ -44,3 +44,10 @@ def working_root(spark: SparkSession) -> str:
 def working_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused, so nothing has to be cleared first."""
     return f"{working_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def apply_session_conf(spark: SparkSession) -> None:
+    """Set what can be set on a session that somebody else has built."""
+    for key, value in SESSION_CONF.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
