@@ -55,6 +55,7 @@ NEGATIONS = (
 ).split()
 
 DEGREES = {**dict.fromkeys(INTENSIFIERS, DEGREE_STEP), **dict.fromkeys(DAMPENERS, -DEGREE_STEP)}
+UNITS = 10_000  # valences are summed as whole numbers of this fraction
 WORD_FACTS = "struct<v:double,d:double,neg:boolean>"
 
 
@@ -86,8 +87,8 @@ def word_tokens(text: Column) -> Column:
 class Lexicon:
     """A word list ready to be used in expressions. Build it with ``Lexicon.load``."""
 
-    def __init__(self, valences: HashedMap, described: HashedMap):
-        self._valences = valences
+    def __init__(self, units: HashedMap, described: HashedMap):
+        self._units = units
         self._described = described
 
     @staticmethod
@@ -105,7 +106,8 @@ class Lexicon:
         fixed = F.split(F.lit(" ".join([*DEGREES, *NEGATIONS])), " ")
         fixed_words = table.sparkSession.range(1).select(F.explode(fixed).alias("token"), F.lit(None).alias("valence"))
         words = cls.clean(table).unionByName(fixed_words)
-        rows = bounded_rows(words.select("token", "valence", key_hash("token").alias("hash")))
+        units = valence_units(F.col("valence")).alias("units")
+        rows = bounded_rows(words.select("token", "valence", units, key_hash("token").alias("hash")))
         if rows is None:
             raise ValueError("word list too large for an expression: score with lexicon_scores_by_join")
         hashes = {row["token"]: row["hash"] for row in rows}
@@ -114,7 +116,9 @@ class Lexicon:
             word: {"v": valences.get(word), "d": DEGREES.get(word, 0.0), "neg": word in NEGATIONS} for word in hashes
         }
         return cls(
-            HashedMap.build(((word, hashes[word], valence) for word, valence in valences.items()), "double"),
+            HashedMap.build(
+                ((row["token"], row["hash"], row["units"]) for row in rows if row["units"] is not None), "bigint"
+            ),
             HashedMap.build(((word, hashes[word], facts) for word, facts in described.items()), WORD_FACTS),
         )
 
@@ -123,9 +127,9 @@ class Lexicon:
         units = F.aggregate(
             word_tokens(F.coalesce(text, F.lit(""))),
             F.lit(0).cast("bigint"),
-            lambda acc, word: acc + valence_units(F.coalesce(self._valences.get(word), F.lit(0.0))),
+            lambda acc, word: acc + F.coalesce(self._units.get(word), F.lit(0).cast("bigint")),
         )
-        return normalised(units / F.lit(10000.0))
+        return normalised(units / F.lit(float(UNITS)))
 
     def rule_score(self, text: Column) -> Column:
         """Full rule set; null or blank text scores 0."""
@@ -153,7 +157,7 @@ class Lexicon:
 
 
 def valence_units(valence: Column) -> Column:
-    return F.round(valence * 10000).cast("bigint")
+    return F.round(valence * UNITS).cast("bigint")
 
 
 def _bare(word: Column) -> Column:
@@ -277,5 +281,5 @@ def lexicon_scores_by_join(articles: DataFrame, key: str, text: str, table: Data
         counted.join(words, "token", "left")
         .groupBy(key)
         .agg(F.coalesce(F.sum(F.col("times") * valence_units(F.col("valence"))), F.lit(0)).alias("units"))
-        .select(key, normalised(F.col("units") / F.lit(10000.0)).alias("sentiment_score"))
+        .select(key, normalised(F.col("units") / F.lit(float(UNITS))).alias("sentiment_score"))
     )

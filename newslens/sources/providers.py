@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions.clock import iso_text, or_ingested, parse_compact, parse_iso, parse_mail_date
-from newslens.functions.text import event_id, first_nonblank, joined_hash
+from newslens.functions.lookup import bound
+from newslens.functions.text import event_id, first_nonblank, joined_hash, strip_all
 from newslens.schemas import EVENT_FIELDS
 
 # Fields of the providers' items, and the defaults of missing ones.
@@ -25,19 +26,23 @@ DEFAULT_GDELT_SOURCE = "gdelt"
 EVENT_OUTPUT = (*EVENT_FIELDS, "raw_json", "published_at_inferred")
 
 
+def _articles_text(body: Column) -> Column:
+    """The ``articles`` field of a response as JSON text; null if missing, null or the body cannot be read."""
+    return F.from_json(body, "articles string")["articles"]
+
+
 def payload_problem(body: Column) -> Column:
     """Why a response cannot be used, or null: blank, not JSON, not an object, or ``articles`` that is no list.
 
     A missing or null ``articles`` is a response without articles, not a problem.
     """
-    value = F.try_parse_json(body)
-    kind = F.schema_of_variant(value)
-    articles = F.schema_of_variant(F.try_variant_get(value, "$.articles", "variant"))
+    articles = _articles_text(body)
     return (
-        F.when(body.isNull() | F.trim(F.regexp_replace(body, r"\s", " ")).eqNullSafe(""), "blank body")
-        .when(value.isNull(), "not json")
-        .when(~kind.startswith("OBJECT"), F.concat(F.lit("not an object: "), kind))
-        .when(articles.isNotNull() & ~articles.startswith("ARRAY") & (articles != "VOID"), "articles is not a list")
+        F.when(body.isNull() | (strip_all(body) == ""), "blank body")
+        .when(articles.startswith("[") & body.rlike(r"^\s*\{"), F.lit(None))
+        .when(F.try_parse_json(body).isNull(), "not json")
+        .when(~body.rlike(r"^\s*\{"), "not an object")
+        .when(articles.isNotNull(), "articles is not a list")
     )
 
 
@@ -47,12 +52,14 @@ def quarantine(payloads: DataFrame) -> DataFrame:
 
 
 def _items(payloads: DataFrame, item: str) -> DataFrame:
-    """One row per article of the usable responses: ``at`` (position), ``item``, ``raw_json``, ``ingested_at``."""
-    usable = payloads.where(payload_problem(F.col("body")).isNull())
-    raw = F.from_json("body", "articles array<string>")["articles"]
-    parsed = F.transform(raw, lambda text: F.struct(F.from_json(text, item).alias("item"), text.alias("raw_json")))
-    return usable.select("ingested_at", F.posexplode(parsed).alias("at", "_a")).select(
-        "ingested_at", "at", "_a.item", "_a.raw_json"
+    """One row per article of the usable responses: ``at`` (position), ``item``, ``raw_json``, ``ingested_at``.
+
+    An unusable response has no list to explode, so it needs no filter here.
+    """
+    usable = F.when(F.col("body").rlike(r"^\s*\{"), _articles_text(F.col("body")))
+    listed = bound(usable, lambda text: F.when(text.startswith("["), F.from_json(text, "array<string>")))
+    return payloads.select("ingested_at", F.posexplode_outer(listed).alias("at", "raw_json")).select(
+        "ingested_at", "at", F.from_json("raw_json", item).alias("item"), "raw_json"
     )
 
 
