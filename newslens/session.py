@@ -32,13 +32,15 @@ def build_session(app_name: str = "newslens", master: str | None = None, **conf:
 def working_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests, one machine) is a local
-    folder made and recorded, so that later calls in the session share it.
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests, one machine) is a local folder
+    made, once per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="newslens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="newslens-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
