@@ -64,3 +64,8 @@ def nonblank(text: Column | str) -> Column:
 def strip_all(text: Column | str) -> Column:
     """Strip every kind of white space at both ends, where ``trim`` takes spaces only."""
     return F.regexp_replace(_col(text), r"^\s+|\s+$", "")
+
+
+def raw_variant(json_text: Column | str) -> Column:
+    """JSON text as a variant value; null where it is not JSON."""
+    return F.try_parse_json(_col(json_text))

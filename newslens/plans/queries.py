@@ -59,6 +59,23 @@ def normalize_newsapi(spark, sf):
     return providers.normalize_newsapi(payloads).select(*EVENT_FIELDS, "published_at_inferred")
 
 
+@query
+def batch_articles(spark, sf):
+    """Batch rows from responses; the German ones report an error and are listed instead of loaded."""
+    item = {
+        "source": F.struct(F.col("source_name").alias("name")), "title": F.col("title"), "content": F.col("content"),
+        "description": F.col("description"), "url": F.col("url"),
+        "publishedAt": F.when(F.col("language") == "es", "soon").otherwise(F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+    }
+    failed = F.replace("body", F.lit('"ok"'), F.lit('"error"'))
+    payloads = _body(spark, sf, item).withColumn("body", F.when(F.col("body").contains("example.com/de/"), failed).otherwise(F.col("body")))
+    rows = providers.batch_articles(payloads, F.lit("b1"))
+    return rows.select(
+        "provider", "provider_article_id", "source_name", "author", "title", "description", "content", "url", "url_hash",
+        "published_at", "language", "load_batch_id", F.try_variant_get("raw_json", "$.title", "string").alias("raw_title"),
+    )
+
+
 @query
 def normalize_rss(spark, sf):
     def tag(name: str, value) -> Column:
@@ -244,7 +261,7 @@ def time_bucket(spark, sf):
 
 @query
 def parse_raw_json(spark, sf):
-    raw = F.try_parse_json("props")
+    raw = text.raw_variant("props")
     return corpus.table(spark, sf, "events").select("event_id", F.try_variant_get(raw, "$.k", "bigint").alias("k"))
 
 
@@ -621,46 +638,45 @@ def tile_top_sources(spark, sf):
 
 
 @query
-def preview_volume(spark, sf):
+def legacy_preview_volume(spark, sf):
     return tiles.preview_volume(article_volume_legacy(spark, sf))
 
 
 @query
-def preview_summary(spark, sf):
+def legacy_preview_summary(spark, sf):
     return tiles.preview_summary(sentiment_summary_legacy(spark, sf))
 
 
 @query
-def preview_trend(spark, sf):
+def legacy_preview_trend(spark, sf):
     return tiles.preview_trend(daily_trend_legacy(spark, sf))
 
 
 @query
-def preview_examples(spark, sf):
+def legacy_preview_examples(spark, sf):
     return tiles.preview_examples(sentiment_examples_legacy(spark, sf))
 
 
 @query
-def preview_scores(spark, sf):
+def legacy_preview_scores(spark, sf):
     return tiles.preview_scores(corpus.sentiment(spark, sf), mentions.AI_MODEL)
 
 
 # --- streaming and backfill -------------------------------------------------------------------------------------------
 
 
-def _messages(spark, sf) -> DataFrame:
-    """The events as a stream of messages, written as JSON lines to the shared folder and read back as files land."""
+def _land(spark, events: DataFrame) -> DataFrame:
+    """Events as a stream of messages: written as JSON lines to the shared folder and read back as files land."""
     landed = working_path(spark, "landed")
-    envelope.event_envelope(_wire_events(spark, sf)).select("value").write.text(landed)
+    envelope.event_envelope(events).select("value").write.text(landed)
     return envelope.landed_stream(spark, landed)
 
 
-@query
-def stream_pipeline(spark, sf):
-    """The whole realtime path, run until the landed messages are worked off; the base table it has written."""
+def _run_pipeline(spark, messages: DataFrame) -> sink.RealtimeTables:
+    """The whole realtime path, run until the landed messages are worked off."""
     tables = sink.RealtimeTables(working_path(spark, "realtime"))
     run = pipeline.start(
-        _messages(spark, sf),
+        messages,
         tables,
         aliases=lambda session: matching.load_aliases(corpus.dim_aliases(session)),
         scorer=corpus.scorer(spark),
@@ -668,14 +684,41 @@ def stream_pipeline(spark, sf):
         trigger=None,
     )
     run.awaitTermination()
+    return tables
+
+
+@query
+def stream_pipeline(spark, sf):
+    """Base rows of the stream. Of events with one url the first to arrive stays, so only what those share is shown."""
+    tables = _run_pipeline(spark, _land(spark, _wire_events(spark, sf)))
     return sink.read_base(spark, tables).select("url_hash", "company_id", "sentiment_score")
 
 
+def _one_per_url(spark, sf) -> DataFrame:
+    """Wire events with one event per url, so that the stream has no choice between them."""
+    events = _wire_events(spark, sf)
+    return dedup.dedup_url_batch(events, [F.col("published_at").asc(), F.col("event_id").asc()])
+
+
+@query
+def sink_micro_batch(spark, sf):
+    tables = _run_pipeline(spark, _land(spark, _one_per_url(spark, sf)))
+    columns = ("event_id", "url_hash", "published_at_ts", "company_id", "sentiment_score", "source_name")
+    return sink.read_match(spark, tables).select(*columns)
+
+
+@query
+def stream_minute_mart(spark, sf):
+    tables = _run_pipeline(spark, _land(spark, _one_per_url(spark, sf)))
+    return sink.read_minutes(spark, tables)
+
+
 @query
 def dedup_stream_url(spark, sf):
     stream_dedup.use_disk_state(spark)
     out = working_path(spark, "deduplicated")
-    events = envelope.normalize_events(envelope.parse_envelope(_messages(spark, sf))).select("url_hash")
+    messages = _land(spark, _wire_events(spark, sf))
+    events = envelope.normalize_events(envelope.parse_envelope(messages)).select("url_hash")
     run = (
         stream_dedup.dedup_stream_url(events)
         .writeStream.format("parquet")

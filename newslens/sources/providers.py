@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions.clock import iso_text, or_ingested, parse_compact, parse_iso, parse_mail_date
 from newslens.functions.lookup import bound
-from newslens.functions.text import event_id, first_nonblank, joined_hash, strip_all
+from newslens.functions.text import event_id, first_nonblank, joined_hash, raw_variant, strip_all
 from newslens.schemas import EVENT_FIELDS
 
 # Fields of the providers' items, and the defaults of missing ones.
@@ -20,6 +20,7 @@ GDELT_ITEM = "struct<url:string,seendate:string,title:string,socialimage:string,
 NEWSAPI_ITEM = "struct<source:struct<name:string>,author:string,title:string,description:string,content:string,url:string,publishedAt:string>"
 FEED = "channel struct<title:string,item:array<struct<link:string,id:string,guid:string,title:string,published:string,pubDate:string,summary:string,description:string,author:string,source:string>>>"
 DEFAULT_LANGUAGE = "en"
+BATCH_PROVIDER = "NEWSAPI"
 DEFAULT_NEWSAPI_SOURCE = "unknown"
 DEFAULT_GDELT_SOURCE = "gdelt"
 
@@ -126,6 +127,40 @@ def normalize_newsapi(payloads: DataFrame) -> DataFrame:
     )
 
 
+def batch_articles(payloads: DataFrame, load_batch_id: Column) -> DataFrame:
+    """NewsAPI responses to rows for the upsert of batch articles, with ``sequence`` giving their order of arrival.
+
+    Here missing fields stay null, the hash is of the url as it came, and a time that cannot be read is null. A response
+    whose ``status`` is not "ok" has no articles to load; ``response_problems`` lists it.
+    """
+    ok = payloads.where(F.get_json_object("body", "$.status").eqNullSafe("ok"))
+    items = _items(ok, NEWSAPI_ITEM).where(F.nullif(F.col("item.url"), F.lit("")).isNotNull())
+    hashed = F.sha2("item.url", 256)
+    return items.select(
+        F.lit(BATCH_PROVIDER).alias("provider"),
+        hashed.alias("provider_article_id"),
+        F.col("item.source.name").alias("source_name"),
+        "item.author",
+        "item.title",
+        "item.description",
+        "item.content",
+        "item.url",
+        hashed.alias("url_hash"),
+        parse_iso(F.col("item.publishedAt")).alias("published_at"),
+        F.lit(DEFAULT_LANGUAGE).alias("language"),
+        F.lit(None).cast("string").alias("country"),
+        raw_variant("raw_json").alias("raw_json"),
+        load_batch_id.alias("load_batch_id"),
+        F.struct("ingested_at", "at").alias("sequence"),
+    )
+
+
+def response_problems(payloads: DataFrame) -> DataFrame:
+    """NewsAPI responses that report a failure: (body, error_message of at most 300 characters of the response)."""
+    failed = ~F.get_json_object("body", "$.status").eqNullSafe("ok")
+    return payloads.where(failed).select("body", F.left("body", F.lit(300)).alias("error_message"))
+
+
 def normalize_rss(feeds: DataFrame, provider: str = "rss") -> DataFrame:
     """Feed documents (RSS) to events. An item without ``source`` takes the feed's title, else the provider's name."""
     channel = F.from_xml("body", FEED)["channel"]

@@ -63,6 +63,17 @@ def test_newsapi_positions_count_skipped_items(payloads):
     assert got["v"].published_at_inferred
 
 
+def test_batch_articles(payloads):
+    body = {"status": "ok", "articles": [{"url": "http://A", "publishedAt": "soon", "title": "T", "extra": 5}, {"title": "x"}]}
+    responses = payloads(body, {"status": "error", "code": "rateLimited", "articles": [{"url": "lost"}]}, "")
+    row = providers.batch_articles(responses, F.lit("b")).select("*", F.try_variant_get("raw_json", "$.extra", "int").alias("e"))
+    (got,) = row.drop("raw_json").collect()
+    assert got.url_hash == got.provider_article_id == hashlib.sha256(b"http://A").hexdigest()
+    assert (got.provider, got.published_at, got.description, got.source_name, got.e) == ("NEWSAPI", None, None, None, 5)
+    assert got.sequence.at == 0
+    assert providers.response_problems(responses).count() == 2
+
+
 def test_rss_files(spark, tmp_path):
     feed = """<rss><channel><title>The Feed</title>
       <item><link>http://a</link><guid isPermaLink="false">g1</guid><title>A &amp; B</title>

@@ -67,7 +67,7 @@ def test_stream_equals_batch_across_a_restart(spark, place, aliases, rows):
     assert tuples(sink.read_base(spark, tables).select("event_id", "company_id"), "event_id", "company_id") == [
         ("e1", 1), ("e2", 2), ("e5", 1), ("e5", 2),
     ]
-    minutes = spark.read.parquet(tables.minute).drop("bucket_date")
+    minutes = sink.read_minutes(spark, tables)
     assert tuples(minutes, "company_id") == tuples(minute_mart(expected), "company_id")
     assert minutes.count() == 2  # one row per (minute, company) although two batches touched the minute
 
@@ -94,11 +94,11 @@ def test_a_batch_repeated_with_nothing_loses_its_rows(spark, place, aliases, row
     other_day = [event(9, "http://z", "tesla", "2026-04-02T10:00:{:02d}+00:00")]
     write(normalised(rows, FIRST), 0)
     write(normalised(rows, other_day), 1)
-    assert spark.read.parquet(tables.minute).count() == 3
+    assert sink.read_minutes(spark, tables).count() == 3
     write(normalised(rows, []), 1)
     assert tuples(sink.read_base(spark, tables).select("event_id"), "event_id") == [("e1",), ("e2",)]
-    mart = spark.read.schema("bucket_minute timestamp_ntz, company_id bigint, bucket_date date").parquet(tables.minute)
-    assert mart.count() == 2
+    assert sink.read_match(spark, tables).count() == 2
+    assert sink.read_minutes(spark, tables).count() == 2
 
 
 def test_an_empty_batch_writes_nothing(place, aliases, rows, tmp_path):
