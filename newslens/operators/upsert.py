@@ -23,27 +23,48 @@ def upsert(
     update: list[str],
     on_match: dict[str, Column] | None = None,
     on_insert: dict[str, Column] | None = None,
+    small_source: bool = False,
 ) -> DataFrame:
     """Target rows after WHEN MATCHED UPDATE / WHEN NOT MATCHED INSERT; ``source`` has one row per key.
 
     ``update`` names the columns taken from the source on a match; ``on_match`` and ``on_insert`` set others (load time,
     flags). Columns given by neither keep the target's value, or the source's if it has one for a new row.
+
+    One full outer join reads each side once and shuffles both. For a written source that is tiny beside the target,
+    ``small_source`` asks for a left join and an insert of what matched nothing instead: if Spark finds the source small
+    enough to broadcast, the target is not shuffled at all; if it does not, the rows are the same.
     """
     on_match, on_insert = on_match or {}, on_insert or {}
     left = target.withColumn("_old", F.lit(True)).alias("t")
     right = source.withColumn("_new", F.lit(True)).alias("s")
     condition = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys]
-    joined = left.join(right, condition, "full_outer")
-    matched = F.col("_old").isNotNull() & F.col("_new").isNotNull()
-    inserted = F.col("_old").isNull()
 
-    def merged(name: str) -> Column:
-        kept = F.col(f"t.{name}")
-        given = F.col(f"s.{name}") if name in source.columns else F.lit(None)
-        updated = given if name in update else on_match.get(name, kept)
-        return F.when(matched, updated).when(inserted, on_insert.get(name, given)).otherwise(kept).alias(name)
+    def given(name: str) -> Column:
+        return F.col(f"s.{name}") if name in source.columns else F.lit(None)
+
+    def changed(name: str) -> Column:
+        return given(name) if name in update else on_match.get(name, F.col(f"t.{name}"))
 
-    return joined.select(*[merged(name) for name in target.columns])
+    def new(name: str) -> Column:
+        return on_insert.get(name, given(name))
+
+    matched = F.col("_old").isNotNull() & F.col("_new").isNotNull()
+    if small_source:
+        kept = left.join(right, condition, "left").select(
+            *[F.when(matched, changed(c)).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns]
+        )
+        known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+        added = missing(known, source, keys).alias("s").select(
+            *[new(c).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+        )
+        return kept.unionByName(added)
+    inserted = F.col("_old").isNull()
+    return left.join(right, condition, "full_outer").select(
+        *[
+            F.when(matched, changed(c)).when(inserted, new(c)).otherwise(F.col(f"t.{c}")).alias(c)
+            for c in target.columns
+        ]
+    )
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -483,7 +483,6 @@ def lexicon_sentiment_by_join(spark, sf):
 
 @query
 def rule_sentiment(spark, sf):
-    """The full rule set; it has no SQL twin and is checked against a plain Python form in the tests."""
     full = text.article_text("title", "description", "content")
     scorer = sentiment.Lexicon.load(corpus.word_list(spark)).rule_score
     return corpus.articles(spark, sf).select("article_id", scorer(full).alias("sentiment_score"))

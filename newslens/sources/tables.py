@@ -6,7 +6,12 @@ A table must not be overwritten while it is read, so a replacement is written be
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from newslens.session import working_path
 
 VERSION = "version="
 
@@ -67,6 +72,27 @@ def overwrite_touched(df: DataFrame, path: str, partition_by: list[str]) -> None
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def merge_touched(
+    source: DataFrame, path: str, partition: str, merge: Callable[[DataFrame, DataFrame], DataFrame]
+) -> None:
+    """Merge rows into a table partitioned by a column of the merge key, such as the day of a mart.
+
+    Only the partitions the source has rows for are read and rewritten. The source is written to the shared folder
+    first, so it is evaluated once; its distinct partition values come to the driver, never its rows.
+    """
+    spark = source.sparkSession
+    staging = working_path(spark, "merge")
+    source.write.parquet(staging)
+    staged = spark.read.parquet(staging)
+    values = [row[0] for row in staged.select(partition).distinct().collect()]
+    if not values:
+        return
+    if path_exists(spark, path):
+        target = spark.read.parquet(path).where(F.col(partition).isin(*values)).select(*source.columns)
+        staged = merge(target, staged)
+    overwrite_touched(staged, path, [partition])
+
+
 def replace_model_partitions(scored: DataFrame, path: str, model_name: str, retired: list[str]) -> None:
     """On a sentiment table partitioned by model: write one model's rows and empty the retired models."""
     overwrite_partition(scored.where(scored["model_name"] == model_name), path, "model_name", model_name)

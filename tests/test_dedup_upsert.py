@@ -1,9 +1,11 @@
 from datetime import date, datetime
 
+import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
 from newslens.operators import dedup, dimensions, upsert
+from newslens.sources import tables
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 SENTIMENT = "sentiment_id bigint, article_id bigint, company_id bigint, scored_at timestamp_ntz"
@@ -61,6 +63,28 @@ def test_upsert_keeps_inserts_and_updates(rows):
          ("p", None, "old", T1, True), ("p", None, "z", T2, False)], key=str)
 
 
+@pytest.mark.parametrize("small_source", [False, True])
+def test_both_upsert_plans_give_the_same_rows(rows, small_source):
+    target = rows([(1, "a", "x"), (2, "b", "x"), (None, "c", "x")], "k bigint, v string, note string")
+    source = rows([(2, "B"), (3, "C"), (None, "N")], "k bigint, v string")
+    got = upsert.upsert(target, source, ["k"], ["v"], {"note": F.lit("upd")}, {"note": F.lit("new")}, small_source)
+    assert sorted(tuples(got), key=str) == sorted(
+        [(1, "a", "x"), (2, "B", "upd"), (3, "C", "new"), (None, "c", "x"), (None, "N", "new")], key=str
+    )
+
+
+def test_merge_reads_and_rewrites_touched_days_only(spark, rows, tmp_path):
+    ddl, path = "metric_date date, company_id bigint, article_count bigint", str(tmp_path / "mart")
+    one, two = date(2024, 1, 1), date(2024, 1, 2)
+    tables.merge_touched(rows([(one, 1, 1), (two, 1, 1), (two, 2, 1)], ddl), path, "metric_date", upsert.upsert_daily_mart)
+    untouched = {f.name for f in (tmp_path / "mart" / "metric_date=2024-01-01").iterdir()}
+    tables.merge_touched(rows([(two, 2, 7), (two, 3, 9)], ddl), path, "metric_date", upsert.upsert_daily_mart)
+    tables.merge_touched(rows([], ddl), path, "metric_date", upsert.upsert_daily_mart)
+    assert {f.name for f in (tmp_path / "mart" / "metric_date=2024-01-01").iterdir()} == untouched
+    got = spark.read.parquet(path).select("metric_date", "company_id", "article_count")
+    assert tuples(got, "metric_date", "company_id") == [(one, 1, 1), (two, 1, 1), (two, 2, 7), (two, 3, 9)]
+
+
 def test_upsert_daily_mart(rows):
     ddl = "metric_date date, company_id bigint, article_count bigint, avg_sentiment double"
     day = date(2024, 1, 1)
