@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions import clock, sentiment, text
 from newslens.operators import dedup, dimensions, marts, matching, mentions, quality, tiles, upsert
-from newslens.plans import corpus
+from newslens.plans.corpus import as_of, corpus, dim_aliases, ntz, table, word_list
 from newslens.schemas import EVENT_FIELDS
 from newslens.session import working_path
 from newslens.sources import envelope, providers
@@ -31,7 +31,7 @@ def query(function: Query) -> Query:
 def _body(spark: SparkSession, sf: str, *items) -> DataFrame:
     """One response per article, made from its row: the given items as ``articles``."""
     listed = F.array(*[F.to_json(F.struct(*[column.alias(name) for name, column in item.items()])) for item in items])
-    return corpus.articles(spark, sf).select(
+    return corpus(spark, sf).articles.select(
         F.concat(F.lit('{"status":"ok","articles":['), F.array_join(listed, ","), F.lit("]}")).alias("body"),
         "ingested_at",
     )
@@ -95,13 +95,13 @@ def normalize_rss(spark, sf):
         F.lit("<rss><channel>"), tag("title", F.concat(F.lit("Feed of "), "language")), F.lit("<item>"), item,
         F.lit("</item><item><title>no link</title></item></channel></rss>"),
     )
-    feeds = corpus.articles(spark, sf).select(feed.alias("body"), "ingested_at")
+    feeds = corpus(spark, sf).articles.select(feed.alias("body"), "ingested_at")
     return providers.normalize_rss(feeds).select(*EVENT_FIELDS, "published_at_inferred")
 
 
 def _wire_events(spark, sf) -> DataFrame:
     """Realtime events as they travel: text columns only."""
-    return corpus.events(spark, sf).select(
+    return corpus(spark, sf).events.select(
         "event_id", "provider", "provider_article_id", clock.iso_text(F.col("published_at_ts")).alias("published_at"),
         "title", "description", "content", "source_name", "url", F.lit("").alias("author"), "language",
         F.lit("").alias("country"), clock.iso_text(F.col("event_ingested_at_ts")).alias("event_ingested_at"),
@@ -124,17 +124,17 @@ def parse_envelope(spark, sf):
 
 @query
 def load_aliases(spark, sf):
-    customers = corpus.table(spark, sf, "customer")
+    customers = table(spark, sf, "customer")
     return matching.load_aliases(customers.select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("alias")))
 
 
 @query
 def seed_dimension(spark, sf):
-    old = corpus.table(spark, sf, "supplier").select(
+    old = table(spark, sf, "supplier").select(
         (F.col("s_suppkey") + 1).alias("company_id"), F.col("s_name").alias("ticker"),
         F.col("s_nationkey").cast("string").alias("country"),
     )
-    seeds = corpus.table(spark, sf, "customer").select(
+    seeds = table(spark, sf, "customer").select(
         F.replace("c_name", F.lit("Customer"), F.lit("Supplier")).alias("ticker"),
         F.col("c_nationkey").cast("string").alias("country"),
     )
@@ -146,18 +146,18 @@ def seed_dimension(spark, sf):
 
 @query
 def url_hash(spark, sf):
-    return corpus.events(spark, sf).select("article_id", "url", text.url_hash("url").alias("url_hash"))
+    return corpus(spark, sf).events.select("article_id", "url", text.url_hash("url").alias("url_hash"))
 
 
 @query
 def event_id(spark, sf):
-    return corpus.events(spark, sf).select("article_id", "event_id")
+    return corpus(spark, sf).events.select("article_id", "event_id")
 
 
 @query
 def article_text(spark, sf):
     full = text.article_text("title", "description", "content")
-    return corpus.articles(spark, sf).select(
+    return corpus(spark, sf).articles.select(
         "article_id",
         full.alias("article_text"),
         F.left(full, F.lit(text.LEGACY_TEXT_LIMIT)).alias("stored_text"),
@@ -169,7 +169,7 @@ def article_text(spark, sf):
 def first_nonblank(spark, sf):
     description = F.when(F.col("language") == "de", "").otherwise(F.col("description"))
     chosen = text.first_nonblank(description, "content", "title", default="none")
-    return corpus.articles(spark, sf).select("article_id", chosen.alias("chosen"))
+    return corpus(spark, sf).articles.select("article_id", chosen.alias("chosen"))
 
 
 @query
@@ -182,7 +182,7 @@ def parse_published_at(spark, sf):
         .when(kind == "purchase", "")
         .otherwise("garbage")
     )
-    rows = corpus.table(spark, sf, "events").select("event_id", "ts", sent.alias("sent"))
+    rows = table(spark, sf, "events").select("event_id", "ts", sent.alias("sent"))
     parsed = F.coalesce(clock.parse_compact(F.col("sent")), clock.parse_iso(F.col("sent")))
     published, inferred = clock.or_ingested(parsed, F.timestamp_add("DAY", F.lit(1), "ts"))
     return rows.select("event_id", published.alias("published_at_ts"), inferred.alias("published_at_inferred"))
@@ -190,7 +190,7 @@ def parse_published_at(spark, sf):
 
 @query
 def drop_incomplete(spark, sf):
-    rows = corpus.articles(spark, sf).select(
+    rows = corpus(spark, sf).articles.select(
         "article_id",
         F.when(F.col("language") != "es", F.col("url")).alias("url"),
         F.when(F.col("source_name").isNotNull(), F.col("title")).alias("title"),
@@ -200,7 +200,7 @@ def drop_incomplete(spark, sf):
 
 def _scored_articles(spark, sf) -> DataFrame:
     full = text.article_text("title", "description", "content")
-    return corpus.articles(spark, sf).select("article_id", corpus.scorer(spark)(full).alias("sentiment_score"))
+    return corpus(spark, sf).articles.select("article_id", corpus(spark, sf).scorer(full).alias("sentiment_score"))
 
 
 @query
@@ -215,8 +215,8 @@ def ai_label_score(spark, sf):
     label = (
         F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "mixed")
     )
-    rows = corpus.table(spark, sf, "documents").select("doc_id")
-    rows = rows.join(corpus.table(spark, sf, "labels"), "doc_id", "left").select("doc_id", label.alias("label"))
+    rows = table(spark, sf, "documents").select("doc_id")
+    rows = rows.join(table(spark, sf, "labels"), "doc_id", "left").select("doc_id", label.alias("label"))
     return rows.select(
         "*",
         sentiment.ai_label_score(F.col("label")).alias("sentiment_score"),
@@ -226,9 +226,9 @@ def ai_label_score(spark, sf):
 
 @query
 def fill_defaults(spark, sf):
-    latest = dedup.latest_sentiment(corpus.sentiment(spark, sf))
+    latest = dedup.latest_sentiment(corpus(spark, sf).sentiment)
     return (
-        corpus.articles(spark, sf)
+        corpus(spark, sf).articles
         .select("article_id", "provider", "source_name")
         .join(latest.select("article_id", "sentiment_score", "sentiment_label", "model_name"), "article_id", "left")
         .select(
@@ -246,12 +246,12 @@ def fill_defaults(spark, sf):
 @query
 def title_preview(spark, sf):
     full = text.article_text("title", "description", "content")
-    return corpus.articles(spark, sf).select("article_id", text.title_preview(full).alias("title"))
+    return corpus(spark, sf).articles.select("article_id", text.title_preview(full).alias("title"))
 
 
 @query
 def time_bucket(spark, sf):
-    return corpus.table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         "event_id",
         clock.time_bucket(F.col("ts"), "minute").alias("bucket_minute"),
         clock.time_bucket(F.col("ts"), "hour").alias("bucket_hour"),
@@ -262,13 +262,13 @@ def time_bucket(spark, sf):
 @query
 def parse_raw_json(spark, sf):
     raw = text.raw_variant("props")
-    return corpus.table(spark, sf, "events").select("event_id", F.try_variant_get(raw, "$.k", "bigint").alias("k"))
+    return table(spark, sf, "events").select("event_id", F.try_variant_get(raw, "$.k", "bigint").alias("k"))
 
 
 @query
 def nonblank_text_filter(spark, sf):
     full = text.article_text("title", "description", "content").alias("text_blob")
-    return corpus.articles(spark, sf).select("article_id", full).where(text.nonblank("text_blob"))
+    return corpus(spark, sf).articles.select("article_id", full).where(text.nonblank("text_blob"))
 
 
 # --- joins ------------------------------------------------------------------------------------------------------------
@@ -278,12 +278,12 @@ MATCH_LIST = ("event_id", "article_id", "provider", "url", "url_hash", "publishe
 
 @query
 def match_substring(spark, sf):
-    return corpus.matched(spark, sf, scored=False).select(*MATCH_LIST)
+    return corpus(spark, sf).hits.select(*MATCH_LIST)
 
 
 def many_aliases(spark, sf) -> DataFrame:
     """Some thousand aliases: the words of four letters or more of the benchmark passages, each of its first passage."""
-    words = corpus.table(spark, sf, "benchmark").select("item_id", F.explode(sentiment.word_tokens(F.col("text"))).alias("w"))
+    words = table(spark, sf, "benchmark").select("item_id", F.explode(sentiment.word_tokens(F.col("text"))).alias("w"))
     return (
         words.where(F.length("w") >= 4)
         .groupBy(F.col("w").alias("alias_norm"))
@@ -293,64 +293,64 @@ def many_aliases(spark, sf) -> DataFrame:
 
 @query
 def match_substring_many(spark, sf):
-    rows = corpus.events(spark, sf).select("article_id", "article_text")
+    rows = corpus(spark, sf).events.select("article_id", "article_text")
     return matching.match_substring(rows, many_aliases(spark, sf), key="article_id").select("article_id", "company_id")
 
 
 @query
 def match_best_alias(spark, sf):
-    return matching.match_best_alias(corpus.articles(spark, sf), corpus.dim_aliases(spark))
+    return matching.match_best_alias(corpus(spark, sf).articles, corpus(spark, sf).dim_aliases)
 
 
 @query
 def match_alias_list(spark, sf):
-    return matching.match_alias_list(corpus.articles(spark, sf), corpus.dim_aliases(spark))
+    return matching.match_alias_list(corpus(spark, sf).articles, corpus(spark, sf).dim_aliases)
 
 
 @query
 def article_enriched(spark, sf):
     return mentions.article_enriched(
-        corpus.articles(spark, sf), corpus.mentions(spark, sf), corpus.companies(spark), corpus.sentiment(spark, sf)
+        corpus(spark, sf).articles, corpus(spark, sf).mentions, corpus(spark, sf).companies, corpus(spark, sf).sentiment
     )
 
 
 @query
 def legacy_mentions(spark, sf):
-    return corpus.batch_side(spark, sf)
+    return corpus(spark, sf).batch_side
 
 
 @query
 def realtime_mentions(spark, sf):
-    return corpus.realtime_side(spark, sf)
+    return corpus(spark, sf).realtime_side
 
 
 @query
 def sentiment_examples(spark, sf):
-    return marts.sentiment_examples(corpus.unified(spark, sf), corpus.companies(spark))
+    return marts.sentiment_examples(corpus(spark, sf).unified, corpus(spark, sf).companies)
 
 
 @query
 def sentiment_examples_legacy(spark, sf):
     return marts.sentiment_examples_batch(
-        corpus.sentiment(spark, sf), corpus.companies(spark), corpus.articles(spark, sf), corpus.as_of()
+        corpus(spark, sf).sentiment, corpus(spark, sf).companies, corpus(spark, sf).articles, as_of()
     )
 
 
 @query
 def mention_listing(spark, sf):
-    return mentions.mention_listing(corpus.mentions(spark, sf), corpus.companies(spark))
+    return mentions.mention_listing(corpus(spark, sf).mentions, corpus(spark, sf).companies)
 
 
 @query
 def model_filtered_left_join(spark, sf):
     keys = ["article_id", "company_id"]
-    chosen = corpus.sentiment(spark, sf).where(F.col("model_name") == mentions.AI_MODEL)
+    chosen = corpus(spark, sf).sentiment.where(F.col("model_name") == mentions.AI_MODEL)
     scores = chosen.select(*keys, "model_name", "sentiment_score")
-    return corpus.mentions(spark, sf).select(*keys).join(scores, keys, "left")
+    return corpus(spark, sf).pairs.join(scores, keys, "left")
 
 
 def _order_aliases(spark, sf, finished_only: bool = False) -> DataFrame:
-    orders = corpus.table(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     if finished_only:
         orders = orders.where(F.col("o_orderstatus") == "F")
     return orders.select(F.col("o_custkey").alias("company_id"), F.col("o_orderpriority").alias("alias")).distinct()
@@ -366,32 +366,32 @@ def anti_join_insert(spark, sf):
 
 @query
 def upsert_articles(spark, sf):
-    known = corpus.articles(spark, sf).where(F.col("provider").isNotNull())
+    known = corpus(spark, sf).articles.where(F.col("provider").isNotNull())
     keys = ["provider", "url"]
     fields = [*keys, "title", "source_name", "published_at"]
     target = upsert.last_per_key(
         known.where(F.col("language").isin("en", "fr")), keys, F.col("article_id")
     ).select(*fields, "ingested_at").withColumn("title", F.lit("old")).withColumn("is_duplicate", F.lit(True))
     source = known.where(F.col("language").isin("fr", "de")).select(*fields, "article_id")
-    return upsert.upsert_articles(target, source, corpus.as_of(), F.col("article_id"))
+    return upsert.upsert_articles(target, source, as_of(), F.col("article_id"))
 
 
 @query
 def upsert_mentions(spark, sf):
-    target = corpus.mentions(spark, sf).where(F.col("company_id") <= 3)
-    return upsert.upsert_mentions(target, match_alias_list(spark, sf), corpus.as_of())
+    target = corpus(spark, sf).mentions.where(F.col("company_id") <= 3)
+    return upsert.upsert_mentions(target, match_alias_list(spark, sf), as_of())
 
 
-def _daily(spark, sf, as_of, **options) -> DataFrame:
+def _daily(spark, sf, refreshed_at, **options) -> DataFrame:
     return marts.daily_mart(
-        corpus.articles(spark, sf), corpus.mentions(spark, sf), corpus.sentiment(spark, sf), as_of, **options
+        corpus(spark, sf).articles, corpus(spark, sf).pairs, corpus(spark, sf).sentiment, refreshed_at, **options
     )
 
 
 @query
 def upsert_daily_mart(spark, sf):
-    target = _daily(spark, sf, corpus.ntz("2024-05-01 00:00:00")).where(F.col("company_id") <= 3)
-    source = _daily(spark, sf, corpus.as_of(), model_name=None).where(F.col("company_id") >= 3)
+    target = _daily(spark, sf, ntz("2024-05-01 00:00:00")).where(F.col("company_id") <= 3)
+    source = _daily(spark, sf, as_of(), model_name=None).where(F.col("company_id") >= 3)
     return upsert.upsert_daily_mart(target, source)
 
 
@@ -402,8 +402,8 @@ def insert_only_merge(spark, sf):
 
 @query
 def replace_model_rows(spark, sf):
-    fresh = corpus.ai_sentiment(spark, sf)
-    return upsert.replace_models(corpus.sentiment(spark, sf), fresh, list(mentions.RETIRED_MODELS))
+    fresh = corpus(spark, sf).ai_sentiment
+    return upsert.replace_models(corpus(spark, sf).sentiment, fresh, list(mentions.RETIRED_MODELS))
 
 
 # --- dedup ------------------------------------------------------------------------------------------------------------
@@ -411,32 +411,32 @@ def replace_model_rows(spark, sf):
 
 @query
 def dedup_event_company(spark, sf):
-    hits = corpus.matched(spark, sf, scored=False).select("event_id", "company_id", "url_hash", "published_at_ts")
+    hits = corpus(spark, sf).hits.select("event_id", "company_id", "url_hash", "published_at_ts")
     return dedup.dedup_event_company(hits)
 
 
 @query
 def latest_event_company(spark, sf):
-    return dedup.latest_event_company(corpus.base(spark, sf))
+    return dedup.latest_event_company(corpus(spark, sf).base)
 
 
 @query
 def latest_url_company(spark, sf):
-    return corpus.unified(spark, sf)
+    return corpus(spark, sf).unified
 
 
 @query
 def latest_sentiment(spark, sf):
-    return dedup.latest_sentiment(corpus.sentiment(spark, sf))
+    return dedup.latest_sentiment(corpus(spark, sf).sentiment)
 
 
 @query
 def dup_report(spark, sf):
-    return dedup.duplicate_loads(corpus.base(spark, sf))
+    return dedup.duplicate_loads(corpus(spark, sf).base)
 
 
 def _alias_table(spark, sf) -> DataFrame:
-    return corpus.table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("alias_id"), F.col("o_custkey").alias("company_id"), F.col("o_orderpriority").alias("alias")
     )
 
@@ -448,7 +448,7 @@ def dup_alias_report(spark, sf):
 
 @query
 def dup_mention_report(spark, sf):
-    return dedup.duplicate_mentions(corpus.repeated_mentions(spark, sf))
+    return dedup.duplicate_mentions(corpus(spark, sf).repeated_mentions)
 
 
 @query
@@ -458,12 +458,12 @@ def dedup_aliases(spark, sf):
 
 @query
 def dedup_mentions(spark, sf):
-    return dedup.dedup_mentions(corpus.repeated_mentions(spark, sf))
+    return dedup.dedup_mentions(corpus(spark, sf).repeated_mentions)
 
 
 @query
 def dedup_url_batch(spark, sf):
-    rows = corpus.events(spark, sf).select("event_id", "article_id", "url")
+    rows = corpus(spark, sf).events.select("event_id", "article_id", "url")
     return dedup.dedup_url_batch(rows, [F.col("article_id").asc()])
 
 
@@ -477,30 +477,30 @@ def lexicon_sentiment(spark, sf):
 
 @query
 def lexicon_sentiment_by_join(spark, sf):
-    rows = corpus.events(spark, sf).select("article_id", "article_text")
-    return sentiment.lexicon_scores_by_join(rows, "article_id", "article_text", corpus.word_list(spark))
+    rows = corpus(spark, sf).events.select("article_id", "article_text")
+    return sentiment.lexicon_scores_by_join(rows, "article_id", "article_text", word_list(spark))
 
 
 @query
 def rule_sentiment(spark, sf):
     full = text.article_text("title", "description", "content")
-    scorer = sentiment.Lexicon.load(corpus.word_list(spark)).rule_score
-    return corpus.articles(spark, sf).select("article_id", scorer(full).alias("sentiment_score"))
+    scorer = sentiment.Lexicon.load(word_list(spark)).rule_score
+    return corpus(spark, sf).articles.select("article_id", scorer(full).alias("sentiment_score"))
 
 
 @query
 def ai_sentiment_flatten(spark, sf):
-    return mentions.ai_sentiment_flatten(corpus.model_results(spark, sf))
+    return mentions.ai_sentiment_flatten(corpus(spark, sf).model_results)
 
 
 @query
 def score_mentions(spark, sf):
-    return corpus.rule_sentiment(spark, sf)
+    return corpus(spark, sf).rule_sentiment
 
 
 @query
 def ai_scores(spark, sf):
-    return corpus.ai_sentiment(spark, sf)
+    return corpus(spark, sf).ai_sentiment
 
 
 # --- aggregates -------------------------------------------------------------------------------------------------------
@@ -508,82 +508,82 @@ def ai_scores(spark, sf):
 
 @query
 def minute_mart(spark, sf):
-    return marts.minute_mart(corpus.matched(spark, sf))
+    return marts.minute_mart(corpus(spark, sf).scored_hits)
 
 
 @query
 def minute_mart_per_alias_hit(spark, sf):
-    return marts.minute_mart(corpus.matched(spark, sf), per_alias_hit=True)
+    return marts.minute_mart(corpus(spark, sf).scored_hits, per_alias_hit=True)
 
 
 @query
 def hour_mart(spark, sf):
-    return marts.hour_mart(corpus.matched(spark, sf))
+    return marts.hour_mart(corpus(spark, sf).scored_hits)
 
 
 @query
 def article_volume(spark, sf):
-    return marts.article_volume(corpus.unified(spark, sf), corpus.companies(spark))
+    return marts.article_volume(corpus(spark, sf).unified, corpus(spark, sf).companies)
 
 
 @query
 def article_volume_legacy(spark, sf):
-    return marts.article_volume_batch(corpus.mentions(spark, sf), corpus.companies(spark), corpus.as_of())
+    return marts.article_volume_batch(corpus(spark, sf).mentions, corpus(spark, sf).companies, as_of())
 
 
 @query
 def sentiment_summary(spark, sf):
-    return marts.sentiment_summary(corpus.unified(spark, sf), corpus.companies(spark))
+    return marts.sentiment_summary(corpus(spark, sf).unified, corpus(spark, sf).companies)
 
 
 @query
 def sentiment_summary_legacy(spark, sf):
-    return marts.sentiment_summary_batch(corpus.sentiment(spark, sf), corpus.companies(spark), corpus.as_of())
+    return marts.sentiment_summary_batch(corpus(spark, sf).sentiment, corpus(spark, sf).companies, as_of())
 
 
 @query
 def daily_trend(spark, sf):
-    return marts.daily_trend(corpus.unified(spark, sf))
+    return marts.daily_trend(corpus(spark, sf).unified)
 
 
 @query
 def daily_trend_legacy(spark, sf):
-    return marts.daily_trend_batch(daily_mart(spark, sf), corpus.as_of())
+    return marts.daily_trend_batch(daily_mart(spark, sf), as_of())
 
 
 @query
 def daily_mart(spark, sf):
-    return _daily(spark, sf, corpus.as_of())
+    return _daily(spark, sf, as_of())
 
 
 @query
 def daily_mart_all_models(spark, sf):
-    return _daily(spark, sf, corpus.as_of(), model_name=None)
+    return _daily(spark, sf, as_of(), model_name=None)
 
 
 @query
 def top_sources(spark, sf):
-    return marts.top_sources(corpus.unified(spark, sf))
+    return marts.top_sources(corpus(spark, sf).unified)
 
 
 @query
 def matching_quality(spark, sf):
-    return marts.matching_quality(corpus.articles(spark, sf), corpus.mentions(spark, sf))
+    return marts.matching_quality(corpus(spark, sf).articles, corpus(spark, sf).pairs)
 
 
 @query
 def label_distribution(spark, sf):
-    return marts.label_distribution(corpus.sentiment(spark, sf))
+    return marts.label_distribution(corpus(spark, sf).sentiment)
 
 
 @query
 def model_row_count(spark, sf):
-    return marts.model_row_count(corpus.sentiment(spark, sf))
+    return marts.model_row_count(corpus(spark, sf).sentiment)
 
 
 @query
 def provider_counts(spark, sf):
-    return marts.provider_counts(corpus.unified(spark, sf))
+    return marts.provider_counts(corpus(spark, sf).unified)
 
 
 # --- reshaping and tiles ----------------------------------------------------------------------------------------------
@@ -591,7 +591,7 @@ def provider_counts(spark, sf):
 
 @query
 def unify_paths(spark, sf):
-    return mentions.unify_paths(corpus.batch_side(spark, sf), corpus.realtime_side(spark, sf))
+    return mentions.unify_paths(corpus(spark, sf).batch_side, corpus(spark, sf).realtime_side)
 
 
 @query
@@ -603,9 +603,9 @@ def sentiment_stacked(spark, sf):
 def table_counts(spark, sf):
     return marts.table_counts(
         {
-            "raw_articles": corpus.articles(spark, sf),
-            "fact_article_company_mentions": corpus.mentions(spark, sf),
-            "fact_article_sentiment": corpus.sentiment(spark, sf),
+            "raw_articles": corpus(spark, sf).articles,
+            "fact_article_company_mentions": corpus(spark, sf).mentions,
+            "fact_article_sentiment": corpus(spark, sf).sentiment,
             "mart_company_sentiment_daily": daily_mart(spark, sf),
         }
     )
@@ -658,7 +658,7 @@ def legacy_preview_examples(spark, sf):
 
 @query
 def legacy_preview_scores(spark, sf):
-    return tiles.preview_scores(corpus.sentiment(spark, sf), mentions.AI_MODEL)
+    return tiles.preview_scores(corpus(spark, sf).sentiment, mentions.AI_MODEL)
 
 
 # --- streaming and backfill -------------------------------------------------------------------------------------------
@@ -677,8 +677,8 @@ def _run_pipeline(spark, messages: DataFrame) -> sink.RealtimeTables:
     run = pipeline.start(
         messages,
         tables,
-        aliases=lambda session: matching.load_aliases(corpus.dim_aliases(session)),
-        scorer=corpus.scorer(spark),
+        aliases=lambda session: matching.load_aliases(dim_aliases(session)),
+        scorer=corpus(spark, sf).scorer,
         checkpoint=working_path(spark, "checkpoint"),
         trigger=None,
     )
@@ -731,7 +731,7 @@ def dedup_stream_url(spark, sf):
 
 @query
 def backfill_coverage(spark, sf):
-    events = corpus.table(spark, sf, "events")
+    events = table(spark, sf, "events")
     return quality.backfill_coverage(
         events, "ts", events.agg(F.min("ts")).scalar(), events.agg(F.max("ts")).scalar(), window_hours=6
     )
