@@ -678,7 +678,7 @@ def _run_pipeline(spark, messages: DataFrame) -> sink.RealtimeTables:
         messages,
         tables,
         aliases=lambda session: matching.load_aliases(dim_aliases(session)),
-        scorer=corpus(spark, sf).scorer,
+        scorer=sentiment.Lexicon.load(word_list(spark)).core_score,
         checkpoint=working_path(spark, "checkpoint"),
         trigger=None,
     )
