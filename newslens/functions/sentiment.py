@@ -10,6 +10,7 @@ Two scorers over a word list (token, valence), both plain expressions:
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -141,19 +142,27 @@ class Lexicon:
         return bound(described, lambda info: _compound(info, text))
 
     def _describe(self, word: Column) -> Column:
-        def facts(low: Column) -> Column:
-            return bound(
-                self._described.get(low),
-                lambda known: F.struct(
-                    low.alias("w"),
-                    known["v"].alias("v"),
-                    F.coalesce(known["d"], F.lit(0.0)).alias("d"),
-                    (F.coalesce(known["neg"], F.lit(False)) | low.contains("n't")).alias("neg"),
-                    ((word == F.upper(word)) & (word != low)).alias("caps"),
-                ),
-            )
+        """What is known of a word: lower-cased form, its entry in the table (null if it has none), all in capitals."""
+        return bound(
+            F.lower(word),
+            lambda low: F.struct(
+                low.alias("w"),
+                self._described.get(low).alias("facts"),
+                ((word != low) & (word == F.upper(word))).alias("caps"),
+            ),
+        )
+
+
+def _valence(word: Column) -> Column:
+    return word["facts"]["v"]
+
+
+def _degree(word: Column) -> Column:
+    return F.coalesce(word["facts"]["d"], F.lit(0.0))
+
 
-        return bound(F.lower(word), facts)
+def _negates(word: Column) -> Column:
+    return F.coalesce(word["facts"]["neg"], F.lit(False)) | word["w"].contains("n't")
 
 
 def valence_units(valence: Column) -> Column:
@@ -163,7 +172,7 @@ def valence_units(valence: Column) -> Column:
 def _bare(word: Column) -> Column:
     """Word without the punctuation around it; very short ones are kept as they are (they may be emoticons)."""
     return bound(
-        F.regexp_replace(word, r"^\p{Punct}+|\p{Punct}+$", ""),
+        F.btrim(word, F.lit(string.punctuation)),
         lambda bare: F.when(F.length(bare) <= 2, word).otherwise(bare),
     )
 
@@ -217,28 +226,28 @@ def _token_valence(info: Column, token: Column, at: Column, mixed: Column) -> Co
         _one_of(first, "no") | _one_of(second, "no") | (_one_of(third, "no") & _one_of(first, "or", "nor"))
     )
     start = (
-        F.when(negated_by_no, token["v"] * NEGATION_FACTOR)
-        .when((token["w"] == "no") & after["v"].isNotNull(), 0.0)
-        .otherwise(token["v"])
+        F.when(negated_by_no, _valence(token) * NEGATION_FACTOR)
+        .when((token["w"] == "no") & _valence(after).isNotNull(), 0.0)
+        .otherwise(_valence(token))
     )
     value = F.when(token["caps"] & mixed, start + F.when(start > 0, CAPS_STEP).otherwise(-CAPS_STEP)).otherwise(start)
     for step, neighbour in enumerate(before):
         value = bound(value, _neighbour_rule(step, neighbour, first, second, third, mixed))
-    least = _one_of(first, "least") & before[0]["v"].isNull() & ~_one_of(second, "at", "very")
+    least = _one_of(first, "least") & _valence(before[0]).isNull() & ~_one_of(second, "at", "very")
     value = bound(value, lambda v: F.when(least, v * NEGATION_FACTOR).otherwise(v))
-    silent = token["v"].isNull() | (token["d"] != 0.0) | ((token["w"] == "kind") & _one_of(after["w"], "of"))
+    silent = _valence(token).isNull() | (_degree(token) != 0.0) | ((token["w"] == "kind") & _one_of(after["w"], "of"))
     return F.when(silent, F.lit(0.0)).otherwise(value)
 
 
 def _neighbour_rule(step: int, neighbour: Column, first: Column, second: Column, third: Column, mixed: Column):
     """What the word ``step + 1`` places before does to a valence."""
-    counts = neighbour["w"].isNotNull() & neighbour["v"].isNull()
+    counts = neighbour["w"].isNotNull() & _valence(neighbour).isNull()
     word = (first, second, third)[step]
 
     def apply(value: Column) -> Column:
         caps = F.when(neighbour["caps"] & mixed, F.when(value > 0, CAPS_STEP).otherwise(-CAPS_STEP)).otherwise(0.0)
-        degree = F.when(neighbour["d"] == 0.0, 0.0).otherwise(
-            F.when(value < 0, -neighbour["d"]).otherwise(neighbour["d"]) + caps
+        degree = F.when(_degree(neighbour) == 0.0, 0.0).otherwise(
+            F.when(value < 0, -_degree(neighbour)).otherwise(_degree(neighbour)) + caps
         )
         moved = value + degree * DISTANCE_DAMPING[step]
         between = [first, second][:step]
@@ -248,11 +257,11 @@ def _neighbour_rule(step: int, neighbour: Column, first: Column, second: Column,
             turned = (
                 F.when(so, moved * NEVER_SO_FACTOR)
                 .when(doubt, moved)
-                .when(neighbour["neg"], moved * NEGATION_FACTOR)
+                .when(_negates(neighbour), moved * NEGATION_FACTOR)
                 .otherwise(moved)
             )
         else:
-            turned = F.when(neighbour["neg"], moved * NEGATION_FACTOR).otherwise(moved)
+            turned = F.when(_negates(neighbour), moved * NEGATION_FACTOR).otherwise(moved)
         return F.when(counts, turned).otherwise(value)
 
     return apply
