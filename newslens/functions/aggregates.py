@@ -17,7 +17,8 @@ def exact_avg(score: Column) -> Column:
 
 
 def rounded_avg(score: Column, digits: int = 3) -> Column:
-    return F.round(exact_avg(score), digits)
+    """The mean, rounded half up as a decimal: the nearest double of a tie may lie on the wrong side of it."""
+    return F.round(exact_avg(score).cast("decimal(28,12)"), digits).cast("double")
 
 
 def label_counts() -> list[Column]:

@@ -4,7 +4,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from newslens.functions import clock, text
-from newslens.functions.aggregates import exact_avg
+from newslens.functions.aggregates import exact_avg, rounded_avg
 from newslens.functions.lookup import HashedMap, key_hash
 
 
@@ -98,6 +98,11 @@ def test_exact_avg_of_nothing_is_null(rows):
     assert df.agg(exact_avg(F.col("s")).alias("x")).first()["x"] is None
 
 
+def test_rounded_avg_rounds_the_true_mean(rows):
+    df = rows([(0.1405,), (0.1404,), (0.1406,)], "s double")  # the quotient is 0.14049999999999999 as a double
+    assert df.agg(rounded_avg(F.col("s")).alias("x")).first()["x"] == 0.141
+
+
 def test_hashed_map_finds_every_key_and_nothing_else(spark, rows):
     keys = [f"key{i}" for i in range(500)] + ["", "ü", "汉字"]
     hashed = rows([(k,) for k in keys], "k string").select("k", key_hash("k").alias("h")).collect()
