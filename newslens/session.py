@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,13 +34,15 @@ def build_session(app_name: str = "newslens", master: str | None = None, **conf:
 def working_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests, one machine) is a local folder
-    made, once per application.
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset and there is one machine (tests) is a local
+    folder made, once per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
         if not context.getCheckpointDir():
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="newslens-"))
         root = context.getCheckpointDir()
     return root.rstrip("/")
@@ -54,3 +58,18 @@ def apply_session_conf(spark: SparkSession) -> None:
     for key, value in SESSION_CONF.items():
         if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they need no installed copy."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="newslens-code-")
+    name = os.path.basename(package)
+    context.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", os.path.dirname(package), name))
