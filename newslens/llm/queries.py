@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newslens.llm import bpe, packing, token_files
+from newslens.llm import bpe, line_dedup, packing, quality, token_files
 from newslens.session import working_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,12 +21,24 @@ def op2_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf, "documents"), VOCABULARY)
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality rules on all documents, with bands from all documents."""
+    rows = quality.quality(table(spark, sf, "documents"), VOCABULARY, PIECES, working_path(spark, "quality"), ["doc_id"])
+    return rows.select("doc.doc_id", *[c for c in rows.columns if c != "doc"])
+
+
 def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """All documents written as token files and read back."""
     path = working_path(spark, "token-files")
     return token_files.write(table(spark, sf, "documents"), VOCABULARY, path, end_id=0).digests()
 
 
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents without the lines that ten or more of them have."""
+    docs = table(spark, sf, "documents")
+    return line_dedup.digests(docs, line_dedup.keep_bitmaps(docs, working_path(spark, "line-dedup"), least_docs=10))
+
+
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents packed into sequences of 1,024 tokens."""
     _, places = packing.pack(table(spark, sf, "documents"), VOCABULARY, working_path(spark, "packing"), end_id=2)
@@ -36,10 +49,28 @@ QUERIES = {
     query.__name__: query
     for query in (
         op2_bpe_round_trip,
+        op5_quality,
         op7_token_files,
+        op9_line_dedup,
         op10_packing,
     )
 }
 
 #: SQL twins for DuckDB.
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op9_line_dedup": r"""
+        with lines as (
+            select doc_id, pos, parts[pos] as line, translate(trim(parts[pos], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key
+            from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents) d,
+                lateral (select unnest(range(1, len(d.parts) + 1)) as pos) p
+        ),
+        gone as (
+            select line_key from lines where line_key <> '' group by line_key having count(distinct doc_id) >= 10
+        )
+        select doc_id, count(*)::bigint as n_lines, count(gone.line_key)::bigint as n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where gone.line_key is null), '')) as kept_sha256
+        from lines left join gone on lines.line_key = gone.line_key
+        group by doc_id
+    """,
+}
