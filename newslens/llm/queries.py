@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newslens.llm import bpe, line_dedup, packing, quality, token_files
+from newslens.llm import bpe, license_scan, line_dedup, packing, quality, token_files
 from newslens.session import working_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,11 @@ def op2_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf, "documents"), VOCABULARY)
 
 
+def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence rules over all documents."""
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Quality rules on all documents, with bands from all documents."""
     rows = quality.quality(table(spark, sf, "documents"), VOCABULARY, PIECES, working_path(spark, "quality"), ["doc_id"])
@@ -49,6 +54,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op2_bpe_round_trip,
+        op4_license_scan,
         op5_quality,
         op7_token_files,
         op9_line_dedup,
