@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newslens.llm import bpe, license_scan, line_dedup, packing, quality, token_files
+from newslens.llm import bpe, html_text, license_scan, line_dedup, packing, quality, token_files, top_k
 from newslens.session import working_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +22,11 @@ def op2_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf, "documents"), VOCABULARY)
 
 
+def op3_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.main_text(table(spark, sf, "pages"))
+
+
 def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Licence rules over all documents."""
     return license_scan.scan(table(spark, sf, "documents"))
@@ -32,6 +38,12 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc.doc_id", *[c for c in rows.columns if c != "doc"])
 
 
+def op6_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten best of all vectors for every hundredth."""
+    vectors = top_k.whole_numbers(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return top_k.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """All documents written as token files and read back."""
     path = working_path(spark, "token-files")
@@ -54,8 +66,10 @@ QUERIES = {
     query.__name__: query
     for query in (
         op2_bpe_round_trip,
+        op3_html_text,
         op4_license_scan,
         op5_quality,
+        op6_top_k,
         op7_token_files,
         op9_line_dedup,
         op10_packing,
@@ -64,6 +78,20 @@ QUERIES = {
 
 #: SQL twins for DuckDB.
 STATEMENTS: dict[str, str] = {
+    "op6_top_k": """
+        with numbers as (
+            select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select q.vec_id as query_id, c.vec_id,
+                cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
+            from numbers q join numbers c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id
+        )
+        select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+        from scored qualify rank <= 10
+    """,
     "op9_line_dedup": r"""
         with lines as (
             select doc_id, pos, parts[pos] as line, translate(trim(parts[pos], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
