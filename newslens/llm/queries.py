@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, html_text, license_scan, line_dedup, packing, quality, token_files, top_k
+from newslens.llm import bpe, html_text, license_scan, line_dedup, near_dups, packing, quality, token_files, top_k
 from newslens.session import working_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,6 +50,11 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.write(table(spark, sf, "documents"), VOCABULARY, path, end_id=0).digests()
 
 
+def op8_near_dups(spark: SparkSession, sf: str) -> DataFrame:
+    """Classes of near duplicates of all documents."""
+    return near_dups.classes(table(spark, sf, "documents"), working_path(spark, "near-dups")).select("doc_id", "class_id")
+
+
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """All documents without the lines that ten or more of them have."""
     docs = table(spark, sf, "documents")
@@ -71,6 +76,7 @@ QUERIES = {
         op5_quality,
         op6_top_k,
         op7_token_files,
+        op8_near_dups,
         op9_line_dedup,
         op10_packing,
     )
