@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, html_text, license_scan, line_dedup, near_dups, packing, quality, token_files, top_k
+from newslens.llm import bpe, html_text, license_scan, line_dedup, near_dups, packing, quality, repeats, token_files, top_k
 from newslens.session import working_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents without the bytes of repeats of 200 bytes."""
+    docs = table(spark, sf, "documents")
+    return repeats.digests(docs, repeats.repeated_spans(docs, working_path(spark, "repeats")))
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """BPE by merge rounds and back again, as digests of every document."""
     return bpe.round_trip_digests(table(spark, sf, "documents"), VOCABULARY)
@@ -70,6 +76,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_repeats,
         op2_bpe_round_trip,
         op3_html_text,
         op4_license_scan,
