@@ -60,14 +60,15 @@ def line_hashes(docs: DataFrame, least_points: int) -> DataFrame:
 class _Stream:
     """Reads the sorted lines of a task. A run is the lines of one key; the last run stays open until the next batch.
 
-    Without ``least_docs`` all but the first line of a run go; with it all lines of runs of so many documents go. Only
-    what may go is held or given out: never more than the lines of ``least_docs`` documents of one key.
+    Lines of runs of at least ``least_docs`` documents go, with ``keep_first`` all but the first. What cannot be said in this
+    task alone is given out as pending: lines of its first and last run, and the first line of its first run. Never more than
+    the lines of ``least_docs`` documents of one key are held.
     """
 
-    def __init__(self, part: int, least_docs: int | None):
-        self.part, self.least = part, least_docs
+    def __init__(self, part: int, least_docs: int, keep_first: bool):
+        self.part, self.least, self.keep_first = part, least_docs, keep_first
         self.open: dict | None = None
-        self.first = True
+        self.head = True
 
     def feed(self, rows: np.ndarray) -> Iterator[tuple]:
         """``rows``: h1, h2, doc_id, text_hash, pos."""
@@ -78,47 +79,42 @@ class _Stream:
             run, key = rows[a:b], (int(rows[a, 0]), int(rows[a, 1]))
             if self.open and self.open["key"] != key:
                 yield from self.close(last=False)
+            first = tuple(run[0, 2:4])
             if not self.open:
-                at = self.first
-                self.open = {"key": key, "docs": 0, "first": tuple(run[0, 2:4]), "last": None, "head": at, "held": [], "n": 0}
-                self.first = False
+                self.open = {"key": key, "docs": 0, "first": first, "last": None, "head": self.head, "held": []}
+                self.head = False
+                if self.keep_first:
+                    if self.open["head"]:
+                        yield ("first", run[:1])
+                    run_left = run[1:]
+                else:
+                    run_left = run
+            else:
+                run_left = run
             state = self.open
-            changes = int((run[1:, 2:4] != run[:-1, 2:4]).any(axis=1).sum()) + (tuple(run[0, 2:4]) != state["last"])
-            state["docs"] += changes
+            state["docs"] += int((run[1:, 2:4] != run[:-1, 2:4]).any(axis=1).sum()) + (first != state["last"])
             state["last"] = tuple(run[-1, 2:4])
-            state["held"].append(run)
-            if self.least is None:
-                held = np.concatenate(state["held"])
-                skip = 1 if not state["n"] else 0
-                if not state["n"] and state["head"]:  # the first line of all: it may go on from the task before
-                    yield from self._out(held[:1], "pending")
-                yield from self._out(held[skip:], "drop")
-                state["held"], state["n"] = [], 1
-            elif state["docs"] >= self.least:
-                yield from self._out(np.concatenate(state["held"]), "drop")
+            if len(run_left):
+                state["held"].append(run_left)
+            if state["docs"] >= self.least and state["held"]:
+                yield ("drop", np.concatenate(state["held"]))
                 state["held"] = []
 
     def close(self, last: bool) -> Iterator[tuple]:
         state, self.open = self.open, None
-        if state is None:
-            return
-        if state["head"] or last:
-            if state["held"] and self.least is not None:
-                yield from self._out(np.concatenate(state["held"]), "pending")
+        if state and (state["head"] or last):
+            if state["held"]:
+                yield ("pending", np.concatenate(state["held"]))
             yield ("edge", self.part, *state["key"], *map(int, state["first"]), *map(int, state["last"]), state["docs"], bool(last))
 
-    def _out(self, rows: np.ndarray, kind: str) -> Iterator[tuple]:
-        if len(rows):
-            yield (kind, rows)
-
 
 OUT = (
     "kind string, part int, h1 long, h2 long, doc_id long, text_hash long, pos int, last_doc long, last_hash long, docs long, at_end boolean"
 )
 
 
-def streamed(lines: DataFrame, least_docs: int | None, partitions: int | None = None) -> DataFrame:
-    """What the tasks say: ``drop`` and ``pending`` lines, and an ``edge`` row for the first and last key of each task."""
+def streamed(lines: DataFrame, least_docs: int, keep_first: bool, partitions: int | None = None) -> DataFrame:
+    """What the tasks say: lines to ``drop``, ``pending`` and ``first`` lines, and an ``edge`` row for the first and last key of each task."""
     names = [c.split()[0] for c in OUT.split(", ")]
     schema = pa.schema(list(zip(names, [pa.string(), pa.int32(), *[pa.int64()] * 4, pa.int32(), *[pa.int64()] * 3, pa.bool_()], strict=True)))
 
@@ -136,7 +132,7 @@ def streamed(lines: DataFrame, least_docs: int | None, partitions: int | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        stream, held, size = _Stream(part, least_docs), [], 0
+        stream, held, size = _Stream(part, least_docs, keep_first), [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -156,40 +152,36 @@ def streamed(lines: DataFrame, least_docs: int | None, partitions: int | None =
     return lines.repartitionByRange(partitions, *order).sortWithinPartitions(*order).mapInArrow(run, OUT)
 
 
-def _settled(edges: list, least_docs: int | None) -> set[tuple[int, int, int]]:
-    """(part, h1, h2) whose pending lines go. ``edges``: at most two rows a task."""
+def _settled(edges: list, least_docs: int) -> set[tuple[str, int, int, int]]:
+    """(kind, part, h1, h2) of the pending and first lines that go. ``edges``: at most two rows a task."""
     by_key = defaultdict(list)
     for row in sorted(edges, key=lambda r: (r.part, bool(r.at_end))):
         by_key[row.h1, row.h2].append(row)
     gone = set()
     for key, rows in by_key.items():
-        if least_docs is None:
-            gone |= {(row.part, *key) for row in rows[1:]}
-            continue
         docs = sum(row.docs for row in rows)
         for one, two in zip(rows, rows[1:], strict=False):
             docs -= (one.last_doc, one.last_hash) == (two.doc_id, two.text_hash)
         if docs >= least_docs:
-            gone |= {(row.part, *key) for row in rows}
+            gone |= {("pending", row.part, *key) for row in rows} | {("first", row.part, *key) for row in rows[1:]}
     return gone
 
 
-def keep_bitmaps(docs: DataFrame, path: str, least_docs: int | None = None, least_points: int = 1) -> DataFrame:
+def keep_bitmaps(docs: DataFrame, path: str, least_docs: int = 1, keep_first: bool = True, least_points: int = 1) -> DataFrame:
     """(doc_id, text_hash, n_dropped, bitmap): for every document that loses lines, which ones stay.
 
-    ``least_docs``: lines whose key is in so many documents go everywhere; None: only the first occurrence (by id and position) of a key
-    stays. The key of a line: blanks at both ends stripped, A-Z lower-cased; keys with fewer than ``least_points`` code points are left
+    Lines whose key is in at least ``least_docs`` documents go, with ``keep_first`` all but the first by id and position. The key of a line: blanks at both ends stripped, A-Z lower-cased; keys with fewer than ``least_points`` code points are left
     alone. ``bitmap`` is zlib-compressed bits, 1 for stay; lines after its end stay. Null texts are one empty line, null ids the smallest
     id; rows with equal id and text count as one document and get one bitmap. ``path``: folder in the shared storage for the hashes.
     """
     lines = arrays.written(line_hashes(keyed(docs), least_points), f"{path}/lines")
-    said = arrays.written(streamed(lines, least_docs), f"{path}/said")
+    said = arrays.written(streamed(lines, least_docs, keep_first), f"{path}/said")
     edges = said.where("kind = 'edge'").select("part", *KEY, *DOC, "last_doc", "last_hash", "docs", "at_end").collect()
     gone = _settled(edges, least_docs)
     going = said.where("kind = 'drop'").select(*DOC, "pos")
     if gone:
-        settled = docs.sparkSession.createDataFrame(sorted(gone), "part int, h1 long, h2 long")  # two rows a task at most
-        pending = said.where("kind = 'pending'").join(F.broadcast(settled), ["part", *KEY], "left_semi")
+        settled = docs.sparkSession.createDataFrame(sorted(gone), "kind string, part int, h1 long, h2 long")  # four rows a task at most
+        pending = said.join(F.broadcast(settled), ["kind", "part", *KEY], "left_semi")
         going = going.unionByName(pending.select(*DOC, "pos"))
 
     def bits(batch: pa.RecordBatch) -> pa.RecordBatch:

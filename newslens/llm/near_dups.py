@@ -21,7 +21,6 @@ from newslens.llm import arrays
 from newslens.llm.components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
-NO_ID = -(2**63)
 #: Sketches a document, shingles a sketch, and how many sketches two documents must share to be aligned. At a similarity of
 #: 0.8 a pair shares a sketch with probability 0.8 ** 3, so it is missed with a probability under 0.0002.
 SKETCHES, TAKEN, SHARED = 16, 3, 2
@@ -299,19 +298,25 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     return both.mapInArrow(run, "u binary, v binary, similarity double")
 
 
+def _row_key(row=None):
+    """What tells rows apart, in an order that puts null ids last: never null itself."""
+    doc_id, text_key = (row["doc_id"], row["text_key"]) if row is not None else (F.col("doc_id"), F.col("text_key"))
+    return F.struct(doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("id"), text_key.alias("text_key"))
+
+
 def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text): one row, that of the smallest id, for each wanted node; the only time that texts are shuffled."""
-    key = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text_key").alias("key")
+    key = _row_key().alias("key")
     chosen = rows.join(wanted, "node", "left_semi").select("node", key).groupBy("node").agg(F.min("key").alias("key"))
     found = _keyed(docs).select(key, "text").join(chosen.hint("shuffle_hash"), "key")
     return found.groupBy("node").agg(F.first("text").alias("text"))
 
 
 def classes(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, class_id, node): the class of every row; ``class_id`` is the smallest id in the class.
+    """(doc_id, text_key, class_id): the class of every row; ``class_id`` is the smallest id in the class.
 
     Texts with the same words are one node; texts without words are one class. Null texts have no words; null ids get a class like others and never
-    name one unless all of a class are null; repeated rows are repeated. ``path``: folder in the shared storage.
+    name one unless all of a class are null; repeated rows are repeated. ``path``: folder in the shared storage. ``stays``: rows of the smallest id in the class.
 
     First every node is aligned with its representative of the smallest hash; what that joins needs no more alignments, and only
     pairs between different components are aligned after that.
@@ -331,6 +336,15 @@ def classes(docs: DataFrame, path: str) -> DataFrame:
     apart = apart.join(first, ["a", "b"], "left_anti")
     more = arrays.written(verified(apart, texts), f"{path}/edges-2")
     roots = components(edges.unionByName(more).select("u", "v"), f"{path}/components-2")
-    own = rows.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = own.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return own.join(named, "root").select("doc_id", "class_id", "node")
+    own = rows.select("doc_id", "text_key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = own.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(_row_key()).alias("chosen"))
+    return own.join(named, "root").select("doc_id", "text_key", "class_id", (_row_key() == F.col("chosen")).alias("stays"))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with all columns, one row of each class of ``found``: that with the smallest id (null ids last)."""
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), _row_key(key).alias("key"))
+    chosen = found.where("stays").select(_row_key().alias("key")).distinct()
+    rows = own.join(chosen.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
+    return rows.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

@@ -64,7 +64,7 @@ def op8_near_dups(spark: SparkSession, sf: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """All documents without the lines that ten or more of them have."""
     docs = table(spark, sf, "documents")
-    return line_dedup.digests(docs, line_dedup.keep_bitmaps(docs, working_path(spark, "line-dedup"), least_docs=10))
+    return line_dedup.digests(docs, line_dedup.keep_bitmaps(docs, working_path(spark, "line-dedup"), 10, keep_first=False))
 
 
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
