@@ -65,7 +65,7 @@ def leaves(page: str) -> list[Leaf]:
     made: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
-    linked, links, hidden, at, raw = 0, 0, 0, 0, None
+    linked, links, hidden, at = 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -99,11 +99,7 @@ def leaves(page: str) -> list[Leaf]:
             if stack[k][0] in within:
                 return
 
-    for token in _TOKEN.finditer(page):
-        if raw:
-            if token[1] == "/" and token[2].lower() == raw:
-                raw, at = None, token.end()
-            continue
+    while token := _TOKEN.search(page, at):
         add(page[at : token.start()])
         at = token.end()
         if token[2] is None:
@@ -117,7 +113,8 @@ def leaves(page: str) -> list[Leaf]:
             if any(open_ == name for open_, _ in stack):
                 pop(max(k for k, (open_, _) in enumerate(stack) if open_ == name))
         elif name in RAW:
-            raw = name
+            end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
+            at = end.start() if end else len(page)
         else:
             if name in BLOCKS:
                 flush()
@@ -132,8 +129,7 @@ def leaves(page: str) -> list[Leaf]:
                 stack.append((name, (stack[-1][1] if stack else ()) + tuple(own)))
                 links += name == "a"
                 hidden += name in HIDDEN
-    if not raw:
-        add(page[at:])
+    add(page[at:])
     flush()
     return made
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Label | keyword that must be in the text | name as pattern over normalised words.
+# Label | beginning of a word that every match holds | name as pattern over normalised words.
 NAMES = """
-0bsd | bsd | (?:0bsd|bsd zero clause|zero clause bsd)(?: license)?
+0bsd | 0bsd | 0bsd(?: license)?
+0bsd | bsd | (?:bsd zero clause|zero clause bsd)(?: license)?
 afl-3.0 | academic | academic free license(?: version| v)?(?: 3(?: 0)?)?
 agpl-1.0 | affero | affero general public license(?: version| v)? 1(?: 0)?
 agpl-3.0 | affero | (?:gnu )?affero general public license(?: version| v)? ?3(?: 0)?
@@ -26,7 +27,8 @@ artistic-2.0 | artistic | artistic license(?: version| v)? 2(?: 0)?
 artistic | artistic | (?:perl )?artistic license
 beerware | beer | beer ?ware license(?: revision [0-9]+)?
 bsd-1-clause | bsd | (?:bsd 1 clause|1 clause bsd|one clause bsd)(?: license)?
-bsd-2-clause | bsd | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: license)?
+bsd-2-clause | bsd | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)(?: license)?
+bsd-2-clause | freebsd | freebsd license
 bsd-3-clause | bsd | (?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: license)?
 bsd-4-clause | bsd | (?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd|old bsd)(?: license)?
 bsd | bsd | bsd(?: style| like)? license
@@ -135,7 +137,7 @@ zlib | zlib | zlib(?: libpng)? license
 zpl-2.1 | zope | zope public license(?: version| v)?(?: 2 1)?
 """
 
-# Label | keyword | sentence as pattern.
+# Label | beginning of a word that every match holds | sentence as pattern.
 SIGNATURES = """
 mit | hereby | permission is hereby granted free of charge to any person obtaining a copy of this software
 mit | whom | to permit persons to whom the software is furnished to do so
@@ -146,7 +148,7 @@ bsd-3-clause | endorse | neither the names? of (?:[^ ]+ ){1,12}may be used to en
 bsd-4-clause | advertising | all advertising materials mentioning features or use of this software must display
 apache-2.0 | compliance | you may not use this file except in compliance with the license
 apache-2.0 | licenses | (?:http |https )?www apache org licenses license 2 0(?: txt| html)?
-apache-1.1 | acknowledgment | this product includes software developed by the apache software foundation
+apache-1.1 | foundation | this product includes software developed by the apache software foundation
 gpl | redistribute | redistribute it and or modify it under the terms of the gnu general public license
 gpl-2.0 | either | gnu general public license as published by the free software foundation either version 2
 gpl-3.0 | either | gnu general public license as published by the free software foundation either version 3

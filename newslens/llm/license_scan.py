@@ -1,6 +1,6 @@
 """Licence scan by ordered signature rules, as DataFrame expressions only: one narrow pass, no shuffle.
 
-Text becomes words in lower case with single blanks around them. A rule is tried only where its keyword is one of the text's words. Every
+Text becomes words in lower case with single blanks around them. A rule is tried only where a word of the text begins with its keyword. Every
 detection has an interval, a priority and a label; one that lies within another of the same or a higher priority does not count.
 """
 
@@ -94,7 +94,7 @@ def rule_groups(own: list[Rule]) -> Column:
     for rule in own:
         pattern = f"(?<= )(?:{rule.pattern})(?= )"
         row = {"pattern": pattern, "priority": rule.priority, "score": rule.score, "label": rule.label}
-        groups.setdefault(f" {rule.keyword} ", []).append(row)
+        groups.setdefault(f" {rule.keyword}", []).append(row)
     value = [{"keyword": keyword, "rules": made} for keyword, made in groups.items()]
     return literal(value, "array<struct<keyword:string,rules:array<struct<pattern:string,priority:int,score:double,label:string>>>>")
 
@@ -116,7 +116,7 @@ def scan(docs: DataFrame, own: list[Rule] | None = None) -> DataFrame:
     hits = [F.when(F.contains("words", F.lit(f" {phrase} ")), F.lit(label)) for phrase, label in BASE.items()]
     base = F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))
     keywords = "|".join(sorted({rule.keyword for rule in (own if own is not None else rules())}))
-    any_keyword = F.col("words").rlike(f" (?:{keywords}) ")
+    any_keyword = F.col("words").rlike(f" (?:{keywords})")
     none = F.struct(F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("score"), F.lit(0).alias("n"))
 
     def judged(detections: Column) -> Column:
