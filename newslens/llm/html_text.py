@@ -126,7 +126,8 @@ def leaves(page: str) -> list[Leaf]:
                     close({"head"}, set())
             if name not in VOID and not token[3].endswith("/"):
                 own = ([] if name in PLAIN else [name]) + _attribute_names(token[3])
-                stack.append((name, (stack[-1][1] if stack else ()) + tuple(own)))
+                above = stack[-1][1] if stack else ()
+                stack.append((name, above + tuple(part for part in dict.fromkeys(own) if part not in above)))
                 links += name == "a"
                 hidden += name in HIDDEN
     add(page[at:])
@@ -278,8 +279,8 @@ def _main(rng: random.Random) -> str:
     blocks = [title if rng.random() < 0.8 else ""]
     if blocks[0] and rng.random() < 0.2:
         blocks[0] = f"<header>{title}</header>"
-    for _ in range(rng.randint(1, 14)):
-        text = _sentences(rng, 1, 9)
+    for _ in range(rng.choice([1, rng.randint(1, 14)])):
+        text = _sentences(rng, 1, rng.choice([1, 9]))
         kinds = (
             [f"<p>{text}</p>"] * 12
             + [f"<p><b>{_words(rng, 1, 9)}.</b><br><p>{text}</p>", f"<h2>{_words(rng, 1, 7)}</h2>", f"<blockquote>{text}</blockquote>"]
@@ -295,8 +296,9 @@ def labelled_pages(how_many: int = TRAINING_PAGES, seed: int = 7) -> list[tuple[
     """Pages of generated words in varied layouts, with the truth for every block. The seed fixes them."""
     rng, made = random.Random(seed), []
     for _ in range(how_many):
-        before = [_around(rng, kind) for kind in ("nav", "header", "ad", "notice", "form", "share", "aside") if rng.random() < 0.35]
-        after = [_around(rng, kind) for kind in ("comments", "aside", "footer", "share", "ad", "form", "nav", "notice") if rng.random() < 0.4]
+        bare = rng.random() < 0.2
+        before = [] if bare else [_around(rng, kind) for kind in ("nav", "header", "ad", "notice", "form", "share", "aside") if rng.random() < 0.35]
+        after = [] if bare else [_around(rng, kind) for kind in ("comments", "aside", "footer", "share", "ad", "form", "nav", "notice") if rng.random() < 0.4]
         tag = rng.choice(["article", "article", "article", "main", "div", "div", "section"])
         name = f' {rng.choice(["class", "id"])}="{rng.choice(MAIN_NAMES)}"' if tag in ("div", "section") or rng.random() < 0.3 else ""
         inner = _main(rng)
