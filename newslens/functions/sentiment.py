@@ -2,7 +2,7 @@
 
 Two scorers over a word list (token, valence), both plain expressions:
 
-* ``Lexicon.core_score``: sum of the valences of all ``[a-z]+`` words, normalised to [-1, 1].
+* ``Lexicon.core_score``: sum of the valences of all words (letters, with apostrophes between them), normalised to [-1, 1].
 * ``Lexicon.rule_score``: the published rule set of Hutto & Gilbert (VADER, ICWSM 2014) on top of the same word list:
   degree words, negation within three words, capitals, "least", "no", contrast after "but", and punctuation. Idioms
   and emoticons are not part of it unless they are single tokens of the word list.
@@ -81,8 +81,12 @@ def normalised(total: Column) -> Column:
     return F.round(total / F.sqrt(total * total + F.lit(NORMALISER)), 4)
 
 
+#: A word: letters of any script with their marks, and apostrophes within it.
+WORD = r"[\p{L}\p{M}]+(?:'[\p{L}\p{M}]+)*"
+
+
 def word_tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
 class Lexicon:
@@ -110,7 +114,7 @@ class Lexicon:
         units = valence_units(F.col("valence")).alias("units")
         rows = bounded_rows(words.select("token", "valence", units, key_hash("token").alias("hash")))
         if rows is None:
-            raise ValueError("word list too large for an expression: score with lexicon_scores_by_join")
+            raise ValueError("word list too large for an expression: use scored(), which joins such lists")
         hashes = {row["token"]: row["hash"] for row in rows}
         valences = {row["token"]: row["valence"] for row in rows if row["valence"] is not None}
         described = {
@@ -274,21 +278,44 @@ def _any(conditions) -> Column:
     return result
 
 
-def lexicon_scores_by_join(articles: DataFrame, key: str, text: str, table: DataFrame) -> DataFrame:
-    """Core score per key for a word list of any size: (key, sentiment_score), one row per article.
+def scored_by_join(df: DataFrame, text: str, table: DataFrame, name: str) -> DataFrame:
+    """``df`` with the core score of a text column as ``name``, for a word list of any size.
 
-    The words of a text are counted within its task before anything is shuffled, so a word that fills a third of the
-    corpus costs one row per text, and both the join and the sum see (key, word, count) only, never the text.
+    Words are counted within a text before anything is shuffled, only listed ones go on, and what comes back to the texts is one
+    sum for each different text that has any. So no column needs to be unique or not null, and a word that fills a third of the corpus
+    costs one row per text.
     """
     words = Lexicon.clean(table)
+    lowered = F.coalesce(F.col(text), F.lit(""))
+    key = F.struct(F.xxhash64(F.lit(0), lowered).alias("a"), F.xxhash64(F.lit(1), lowered).alias("b"))
+    keyed = df.withColumn("_key", key)
     counted = (
-        articles.select(key, F.explode_outer(word_tokens(F.col(text))).alias("token"))
-        .groupBy(key, "token")
+        keyed.select("_key", F.explode(word_tokens(lowered)).alias("token"))
+        .groupBy("_key", "token")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    return (
-        counted.join(words, "token", "left")
-        .groupBy(key)
-        .agg(F.coalesce(F.sum(F.col("times") * valence_units(F.col("valence"))), F.lit(0)).alias("units"))
-        .select(key, normalised(F.col("units") / F.lit(float(UNITS))).alias("sentiment_score"))
+    copies = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
+    sums = (
+        counted.join(words, "token")
+        .groupBy("_key")
+        .agg(F.sum(F.col("times") * valence_units(F.col("valence"))).alias("units"))
+        .join(copies, "_key")
+        .select("_key", (F.col("units") / F.col("copies")).alias("units"))
     )
+    units = F.coalesce(F.col("units"), F.lit(0))
+    joined = keyed.join(sums, "_key", "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], normalised(units / F.lit(float(UNITS))).alias(name))
+
+
+def scored(df: DataFrame, text: str, table: DataFrame, name: str) -> DataFrame:
+    """``df`` with the core score of a text column as ``name``: in an expression if the word list is small enough, else by
+    join. Both give equal scores."""
+    small = bounded_rows(Lexicon.clean(table)) is not None
+    if small:
+        return df.withColumn(name, Lexicon.load(table).core_score(F.col(text)))
+    return scored_by_join(df, text, table, name)
+
+
+def lexicon_scores_by_join(articles: DataFrame, key: str, text: str, table: DataFrame) -> DataFrame:
+    """Core score of each row for a word list of any size: (key, sentiment_score)."""
+    return scored_by_join(articles.select(key, text), text, table, "sentiment_score").select(key, "sentiment_score")

@@ -33,13 +33,17 @@ def latest_event_company(base: DataFrame) -> DataFrame:
     return keep_first(base, ["event_id", "company_id"], [newest("loaded_at"), newest("ingest_batch_id")])
 
 
+def article_key(url_hash: Column | str, path: Column | str, record_id: Column | str) -> Column:
+    """Identity of an article over both paths: its url's hash, else its own record."""
+    return F.coalesce(url_hash, F.concat(F.lit("record:"), path, F.lit(":"), record_id))
+
+
 def latest_url_company(unified: DataFrame) -> DataFrame:
     """Newest load per (canonical_url_hash, company_id) over both paths.
 
     A row without hash and url is its own article, so it is keyed by its record instead.
     """
-    own_key = F.coalesce("canonical_url_hash", F.concat(F.lit("record:"), "ingest_path", F.lit(":"), "record_id"))
-    keyed = unified.withColumn("_key", own_key)
+    keyed = unified.withColumn("_key", article_key("canonical_url_hash", "ingest_path", "record_id"))
     order = [newest("loaded_at"), newest("record_id"), F.col("ingest_path").asc()]
     return keep_first(keyed, ["_key", "company_id"], order).drop("_key")
 

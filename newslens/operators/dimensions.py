@@ -2,42 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newslens.operators.dedup import keep_first
+from newslens.operators.numbering import number_new_rows
 from newslens.operators.upsert import missing
 
-BUCKET_HEX = 4  # hex digits: at most 65,536 buckets, whatever the table holds
-
-
-def number_new_rows(rows: DataFrame, keys: list[str], name: str, after: DataFrame | None = None) -> DataFrame:
-    """Give each row of a table with unique ``keys`` a number, without gaps, after the largest in ``after``.
-
-    Numbers follow the sha-256 of the key, so they depend on nothing but the key set. A row number over the whole table
-    would run in one task; the hash's leading digits instead cut the order into buckets of even size, each numbered in
-    parallel and shifted by the rows in the buckets before it (one row per bucket, a bounded table).
-    """
-    hashed = rows.withColumn("_hash", F.sha2(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]), 256))
-    bucketed = hashed.withColumn("_bucket", F.left("_hash", F.lit(BUCKET_HEX)))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    )
-    within = Window.partitionBy("_bucket").orderBy("_hash")
-    last = F.lit(0) if after is None else after.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
-    return (
-        bucketed.withColumn("_rn", F.row_number().over(within))
-        .join(F.broadcast(shifts), "_bucket")
-        .withColumn(name, (last + F.col("_shift") + F.col("_rn")).cast("bigint"))
-        .drop("_hash", "_bucket", "_rn", "_shift")
-    )
-
-
 def seed_dimension(target: DataFrame, seeds: DataFrame, keys: list[str], id_column: str) -> DataFrame:
-    """Target plus the seeds whose natural key it lacks, numbered after its largest id. Running it again adds nothing."""
-    fresh = number_new_rows(missing(target, seeds.dropDuplicates(keys), keys), keys, id_column, target)
+    """Target plus the seeds whose natural key it lacks, numbered after its largest id. Running it again adds nothing. Of
+    seeds with one key the first by all columns stays."""
+    order = [F.col(c).asc_nulls_last() for c in seeds.columns if c not in keys]
+    single = keep_first(seeds, keys, order) if order else seeds.dropDuplicates(keys)
+    fresh = number_new_rows(missing(target, single, keys), keys, id_column, target)
     return target.unionByName(fresh, allowMissingColumns=True).select(*target.columns)
 
 

@@ -1,35 +1,29 @@
 """Which companies a text names.
 
-A text matches an alias when it contains it. Two plans give the same rows:
+A text matches an alias when it contains it. Two plans give a text the same array of alias rows, and all that follows is shared:
 
-* a bounded alias table travels to the texts (``AliasIndex``): every text is checked where it lies, with no join and no
-  shuffle. A short list is tried alias by alias in an expression, a long one by one pass of an automaton over the text;
-* an alias table of any size is matched by a join on the leading characters of the aliases (``join_candidates``), where
-  no side is broadcast and popular ones are spread over salts.
+* a short alias table travels to the texts (``AliasIndex``): every alias is tried in an expression, with no join and no shuffle;
+* an alias table of any size is matched by a join on the leading characters of the aliases (``joined_hits``), where no side
+  is broadcast. A text only sends out stretches that pass a filter of fixed size over those characters.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.functions.lookup import bound, bounded_rows, literal
-from newslens.functions.sentiment import Scorer
+from newslens.functions.lookup import bound, literal
+from newslens.functions.sentiment import Scorer, scored
 from newslens.functions.text import mention_context
 
-try:
-    import ahocorasick
-except ImportError:  # long alias tables then go through the join
-    ahocorasick = None
-
 ANCHOR = 6
 TRY_EACH_UP_TO = 96
 SALTS = 32
+#: Size of the filter over leading characters, whatever the alias table holds. A fuller filter lets more stretches pass, never fewer.
+FILTER_BITS = 1 << 22
 
 # Method name and confidence of a batch mention.
 MATCH_METHOD = "alias_ilike"
@@ -48,10 +42,10 @@ def load_aliases(dim_aliases: DataFrame) -> DataFrame:
 
 
 def substring_rows(aliases: DataFrame) -> DataFrame:
-    """Rows of the substring matcher. A blank alias is part of every text and would match all of them; it is dropped."""
-    return aliases.select("company_id", F.col("alias_norm").alias("alias"), F.col("alias_norm").alias("needle")).where(
-        F.trim("needle") != ""
-    )
+    """Rows of the substring matcher. A blank alias is part of every text and would match all of them; it is dropped, as is one
+    without company. Of rows that are equal in lower case each counts."""
+    rows = aliases.select("company_id", F.col("alias_norm").alias("alias"), F.col("alias_norm").alias("needle"))
+    return rows.where(F.col("company_id").isNotNull() & (F.trim("needle") != ""))
 
 
 def ilike_rows(dim_aliases: DataFrame) -> DataFrame:
@@ -63,9 +57,8 @@ def ilike_rows(dim_aliases: DataFrame) -> DataFrame:
     stretches = F.transform(
         F.split(F.lower("alias"), "[%_]"), lambda s: F.struct((-F.length(s)).alias("rank"), s.alias("stretch"))
     )
-    return dim_aliases.select("company_id", "alias", F.array_min(stretches)["stretch"].alias("needle")).where(
-        F.trim("alias") != ""
-    )
+    rows = dim_aliases.select("company_id", "alias", F.array_min(stretches)["stretch"].alias("needle"))
+    return rows.where(F.col("company_id").isNotNull() & (F.trim("alias") != ""))
 
 
 def ilike_contains(text: Column, hit: Column) -> Column:
@@ -80,125 +73,115 @@ def ilike_contains(text: Column, hit: Column) -> Column:
 
 @dataclass(frozen=True)
 class AliasIndex:
-    """A bounded alias table inside expressions: ``entries`` are its rows, ``tried`` and ``places`` find them in a text."""
+    """A short alias table as one literal."""
 
     entries: Column
-    tried: Column
-    places: Callable[[Column], Column] | None
 
     @classmethod
-    def load(cls, rows: DataFrame, try_each_up_to: int = TRY_EACH_UP_TO) -> "AliasIndex | None":
-        """The index of an alias table, or None if it is too large, or there is no automaton library for a long one."""
-        fetched = bounded_rows(rows.select("company_id", "alias", "needle"))
-        if fetched is None:
+    def load(cls, rows: DataFrame, up_to: int = TRY_EACH_UP_TO) -> "AliasIndex | None":
+        """The index of an alias table, or None if it has more rows than an expression should try."""
+        fetched = rows.select("company_id", "alias", "needle").limit(up_to + 1).collect()
+        if len(fetched) > up_to:
             return None
         entries = sorted((row.asDict() for row in fetched), key=lambda e: (e["company_id"], e["alias"]))
-        column = literal(entries, HIT_ARRAY)
-        if len(entries) <= try_each_up_to:
-            return cls(column, column, None)
-        if ahocorasick is None:
-            return None
-        everywhere = literal([entry for entry in entries if not entry["needle"]], HIT_ARRAY)
-        finder = _place_finder(rows.sparkSession, [entry["needle"] for entry in entries])
-        return cls(column, everywhere, finder)
+        return cls(literal(entries, HIT_ARRAY))
 
     def hits(self, lowered: Column) -> Column:
-        """Array of the alias rows whose needle is part of a lower-cased text."""
-        tried = bound(lowered, lambda text: F.filter(self.tried, lambda hit: text.contains(hit["needle"])))
-        if self.places is None:
-            return tried
-        return F.concat(tried, F.transform(self.places(lowered), lambda place: F.get(self.entries, place)))
+        """Array of the alias rows whose needle is part of a lower-cased text, by company and alias."""
+        return bound(lowered, lambda text: F.filter(self.entries, lambda hit: text.contains(hit["needle"])))
 
 
-def _place_finder(spark: SparkSession, needles: list[str]) -> Callable[[Column], Column]:
-    """Column function: the places, in a bounded list of needles, of those that a text contains.
-
-    One pass over the text whatever the number of needles (Aho and Corasick, 1975). Measured against an index of leading
-    characters made of built-in functions, it takes a quarter of the time, Arrow transfer included.
-    """
-    shared = spark.sparkContext.broadcast(needles)
+def leading(text: Column, length: int) -> Column:
+    """All stretches of ``length`` characters, overlapping, in one pass over the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
 
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        places = defaultdict(list)
-        for place, needle in enumerate(shared.value):
-            places[needle].append(place)
-        automaton = ahocorasick.Automaton()
-        for needle, found in places.items():
-            if needle:
-                automaton.add_word(needle, found)
-        automaton.make_automaton()
-        for texts in batches:
-            yield pd.Series([sorted({p for _, found in automaton.iter(t or "") for p in found}) for t in texts])
 
-    return F.pandas_udf(find, "array<int>")
+def anchor_filter(anchored: DataFrame) -> Callable[[Column], Column]:
+    """Whether some alias may begin with these characters: bits at their hashes, of which there are FILTER_BITS at most."""
+    slot = F.pmod(F.xxhash64("_anchor"), F.lit(FILTER_BITS))
+    slots = anchored.select(slot.alias("slot")).distinct()
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    bits = [0] * (FILTER_BITS // 64)
+    for row in words:
+        bits[row["word"]] = row["bits"]
+    shared = literal(bits, "array<bigint>")
 
+    def passes(characters: Column) -> Column:
+        at = F.pmod(F.xxhash64(characters), F.lit(FILTER_BITS))
+        wanted = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
+        return F.get(shared, F.shiftright(at, 6).cast("int")).bitwiseAND(wanted) != 0
 
-def leading(text: Column, length: int) -> Column:
-    """All stretches of ``length`` characters, overlapping, in one pass over the text."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
+    return passes
 
 
-def join_candidates(texts: DataFrame, key: str, lowered: Column, rows: DataFrame) -> DataFrame:
-    """``texts`` with the alias rows whose needle they contain, for an alias table of any size; ``key`` is unique.
+def joined_hits(texts: DataFrame, lowered: Column, rows: DataFrame) -> DataFrame:
+    """``texts`` with the array ``_hits`` of the alias rows whose needle they contain, for an alias table of any size; texts without
+    any fall out.
 
-    Texts and needles meet on the first characters of the needle. That join sees (key, characters) only; the text
-    comes back for the candidates that are left. Characters that are in much of the corpus are spread over ``SALTS``
-    tasks: the text side takes its salt from the key, the alias side is repeated once per salt.
+    Texts and needles meet on the first characters of the needle. That join sees hashes of the texts and characters only;
+    what it finds comes back to the texts as one array for each different text. So no column needs to be unique or not null.
+    Characters that are in much of the corpus are spread over ``SALTS`` tasks: the text side takes its salt from the text's hash, the
+    alias side is repeated once per salt.
     """
     anchored = rows.withColumn("_anchor", F.left("needle", F.lit(ANCHOR)))
     lengths = sorted(row[0] for row in anchored.select(F.length("_anchor")).distinct().collect())
     parts = [F.array_distinct(leading(F.col("_lowered"), n)) if n else F.array(F.lit("")) for n in lengths]
     if not parts:
         parts = [F.array().cast("array<string>")]
-    grams = texts.select(key, lowered.alias("_lowered")).select(
-        key, F.explode(F.concat(*parts)).alias("_anchor"), F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt")
+    passes = anchor_filter(anchored)
+    key = F.struct(F.xxhash64(F.lit(0), "_lowered").alias("a"), F.xxhash64(F.lit(1), "_lowered").alias("b"))
+    keyed = texts.withColumn("_lowered", lowered).withColumn("_key", key)
+    grams = keyed.select(
+        "_key", F.explode(F.filter(F.concat(*parts), passes)).alias("_anchor"), F.pmod("_key.a", F.lit(SALTS)).alias("_salt")
     )
-    salted = anchored.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
-    candidates = grams.join(salted, ["_anchor", "_salt"]).select(key, "company_id", "alias", "needle")
-    return (
-        texts.withColumn("_lowered", lowered)
-        .join(candidates, key)
-        .where(F.col("_lowered").contains(F.col("needle")))
-        .drop("_lowered")
+    counted = anchored.groupBy("company_id", "alias", "needle", "_anchor").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    salted = counted.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    hit = F.struct("company_id", "alias", "needle", "times")
+    found = grams.join(salted, ["_anchor", "_salt"]).groupBy("_key").agg(F.array_sort(F.collect_set(hit)).alias("_hits"))
+    contained = F.flatten(
+        F.transform(
+            F.filter("_hits", lambda hit: F.col("_lowered").contains(hit["needle"])),
+            lambda hit: F.array_repeat(
+                F.struct(*[hit[c].alias(c) for c in ("company_id", "alias", "needle")]), hit["times"]
+            ),
+        )
     )
+    return keyed.join(found, "_key").withColumn("_hits", contained).drop("_lowered", "_key")
+
+
+def with_hits(texts: DataFrame, lowered: Column, rows: DataFrame, up_to: int = TRY_EACH_UP_TO) -> DataFrame:
+    """``texts`` with ``_hits``, by the plan that fits the alias table; texts without hits may fall out."""
+    index = AliasIndex.load(rows, up_to)
+    return texts.withColumn("_hits", index.hits(lowered)) if index else joined_hits(texts, lowered, rows)
 
 
 # --- realtime matcher -------------------------------------------------------------------------------------------------
 
 
 def match_substring(
-    articles: DataFrame, aliases: DataFrame, *, key: str = "event_id", text: str = "article_text",
-    per_alias_hit: bool = True, scorer: Scorer | None = None,
+    articles: DataFrame, aliases: DataFrame, *, text: str = "article_text", per_alias_hit: bool = True,
+    scorer: "Scorer | DataFrame | None" = None, up_to: int = TRY_EACH_UP_TO,
 ) -> DataFrame:
     """Articles joined to companies by ``alias_norm`` being part of the lower-cased text.
 
     One row per alias that hits, as the append tables have it; with ``per_alias_hit=False`` one row per (article,
-    company). With a ``scorer`` the rows get ``sentiment_score``; each matched article is scored once, an unmatched one
-    never.
+    company). With a ``scorer`` (a function of the text, or a word list of any size) the rows get ``sentiment_score``; each matched
+    article is scored once, an unmatched one never. Alias tables of up to ``up_to`` rows are tried in an expression.
     """
-    rows = substring_rows(aliases)
-    lowered = F.lower(text)
-    columns = [F.col(name) for name in articles.columns]
-    index = AliasIndex.load(rows)
-    if index:
-        companies = F.transform(index.hits(lowered), lambda hit: hit["company_id"])
-        if not per_alias_hit:
-            companies = F.array_distinct(companies)
-        matched = articles.select(*columns, companies.alias("_companies"))
-        if scorer:
-            score = F.when(F.size("_companies") > 0, scorer(F.col(text))).alias("sentiment_score")
-            matched = matched.select(*columns, score, "_companies")
-        # explode_outer and a filter behind it: a plain explode would evaluate the match a second time as a filter
-        return matched.select(
-            *[name for name in matched.columns if name != "_companies"],
-            F.explode_outer("_companies").alias("company_id"),
-        ).where(F.col("company_id").isNotNull())
-    matched = join_candidates(articles, key, lowered, rows).drop("alias", "needle")
-    if not per_alias_hit:
-        matched = matched.dropDuplicates([key, "company_id"])
-    if scorer:
-        matched = matched.withColumn("sentiment_score", scorer(F.col(text)))
-    return matched
+    columns = [F.col(f"`{name}`") for name in articles.columns]
+    found = with_hits(articles, F.lower(text), substring_rows(aliases), up_to)
+    companies = F.transform("_hits", lambda hit: hit["company_id"])
+    matched = found.select(*columns, (companies if per_alias_hit else F.array_distinct(companies)).alias("_companies"))
+    if isinstance(scorer, DataFrame):
+        matched = scored(matched.where(F.size("_companies") > 0), text, scorer, "sentiment_score")
+    elif scorer:
+        matched = matched.withColumn("sentiment_score", F.when(F.size("_companies") > 0, scorer(F.col(text))))
+    # explode_outer and a filter behind it: a plain explode would evaluate the match a second time as a filter
+    return matched.select(
+        *[name for name in matched.columns if name != "_companies"],
+        F.explode_outer("_companies").alias("company_id"),
+    ).where(F.col("company_id").isNotNull())
 
 
 # --- batch matchers ---------------------------------------------------------------------------------------------------
@@ -228,10 +211,10 @@ def _ranked(company: Column, rank: Column, alias: Column) -> Column:
     )
 
 
-def _verified_hits(index: AliasIndex) -> Column:
-    """Array of ranked hits of an article, each alias checked as a pattern on each field by itself."""
-    fields = _lowered_fields()
-    both = F.struct(fields.alias("fields"), index.hits(_searched(fields)).alias("hits"))
+def _with_verified_hits(articles: DataFrame, dim_aliases: DataFrame, up_to: int) -> DataFrame:
+    """Articles with ``_ranked``: ranked hits, each alias checked as a pattern on each field by itself."""
+    found = with_hits(articles, _searched(_lowered_fields()), ilike_rows(dim_aliases), up_to)
+    both = F.struct(_lowered_fields().alias("fields"), F.col("_hits").alias("hits"))
 
     def ranked(both: Column) -> Column:
         hits = F.transform(
@@ -239,21 +222,7 @@ def _verified_hits(index: AliasIndex) -> Column:
         )
         return F.filter(hits, lambda hit: hit["rank"].isNotNull())
 
-    return bound(both, ranked)
-
-
-def _verified_by_join(articles: DataFrame, rows: DataFrame) -> DataFrame:
-    """(article_id, mention_context, hit): the same ranked hits, one per row, for an alias table of any size."""
-    narrowed = articles.select(
-        "article_id", _lowered_fields().alias("_fields"), mention_context("title", "description", "content").alias("c")
-    )
-    found = join_candidates(narrowed, "article_id", _searched(F.col("_fields")), rows)
-    hit = F.struct("company_id", "alias", "needle")
-    return found.select(
-        "article_id",
-        F.col("c").alias("mention_context"),
-        _ranked(F.col("company_id"), _field_rank(F.col("_fields"), hit), F.col("alias")).alias("hit"),
-    ).where(F.col("hit.rank").isNotNull())
+    return found.select(*articles.columns, bound(both, ranked).alias("_ranked"))
 
 
 def _mentions(matched: DataFrame) -> DataFrame:
@@ -279,60 +248,34 @@ def _exploded(articles: DataFrame, picked) -> DataFrame:
     )
 
 
-def match_best_alias(articles: DataFrame, dim_aliases: DataFrame) -> DataFrame:
-    """One mention per (article, company) with its best alias: title before description before content, then the
-    longer alias, then the alias that sorts first. ``article_id`` is unique."""
-    rows = ilike_rows(dim_aliases)
-    index = AliasIndex.load(rows)
-    if index:
-
-        def best(hits: Column) -> Column:
-            firsts = F.filter(
-                hits,
-                lambda hit, at: (at == 0) | (F.get(hits, at - 1)["company_id"] != hit["company_id"]),
-            )
-            return F.transform(
-                firsts, lambda hit: F.struct(hit["company_id"].alias("company_id"), hit["alias"].alias("matched_text"))
-            )
-
-        return _mentions(_exploded(articles, bound(F.sort_array(_verified_hits(index)), best)))
-    order = Window.partitionBy("article_id", "hit.company_id").orderBy("hit")
-    return _mentions(
-        _verified_by_join(articles, rows)
-        .withColumn("_rn", F.row_number().over(order))
-        .where(F.col("_rn") == 1)
-        .select("article_id", "hit.company_id", F.col("hit.alias").alias("matched_text"), "mention_context")
-    )
+def match_best_alias(articles: DataFrame, dim_aliases: DataFrame, up_to: int = TRY_EACH_UP_TO) -> DataFrame:
+    """One mention per article and company with its best alias: title before description before content, then the
+    longer alias, then the alias that sorts first. Every row of ``articles`` stands for itself."""
 
+    def best(hits: Column) -> Column:
+        firsts = F.filter(
+            hits,
+            lambda hit, at: (at == 0) | (F.get(hits, at - 1)["company_id"] != hit["company_id"]),
+        )
+        return F.transform(
+            firsts, lambda hit: F.struct(hit["company_id"].alias("company_id"), hit["alias"].alias("matched_text"))
+        )
 
-def match_alias_list(articles: DataFrame, dim_aliases: DataFrame) -> DataFrame:
-    """One mention per (article, company) that lists all aliases found, distinct and in order."""
-    rows = ilike_rows(dim_aliases)
-    index = AliasIndex.load(rows)
-    if index:
-
-        def listed(hits: Column) -> Column:
-            companies = F.array_distinct(F.transform(hits, lambda hit: hit["company_id"]))
-            return F.transform(
-                companies,
-                lambda company: F.struct(
-                    company.alias("company_id"),
-                    F.array_join(
-                        F.array_sort(
-                            F.array_distinct(
-                                F.transform(
-                                    F.filter(hits, lambda hit: hit["company_id"] == company), lambda hit: hit["alias"]
-                                )
-                            )
-                        ),
-                        ", ",
-                    ).alias("matched_text"),
-                ),
-            )
-
-        return _mentions(_exploded(articles, bound(_verified_hits(index), listed)))
-    return _mentions(
-        _verified_by_join(articles, rows)
-        .groupBy("article_id", "hit.company_id", "mention_context")
-        .agg(F.array_join(F.array_sort(F.collect_set("hit.alias")), ", ").alias("matched_text"))
-    )
+    found = _with_verified_hits(articles, dim_aliases, up_to)
+    return _mentions(_exploded(found, bound(F.sort_array("_ranked"), best)))
+
+
+def match_alias_list(articles: DataFrame, dim_aliases: DataFrame, up_to: int = TRY_EACH_UP_TO) -> DataFrame:
+    """One mention per article and company that lists all aliases found, distinct and in order."""
+
+    def listed(hits: Column) -> Column:
+        companies = F.array_distinct(F.transform(hits, lambda hit: hit["company_id"]))
+
+        def aliases(company: Column) -> Column:
+            own = F.filter(hits, lambda hit: hit["company_id"] == company)
+            return F.array_join(F.array_sort(F.array_distinct(F.transform(own, lambda hit: hit["alias"]))), ", ")
+
+        return F.transform(companies, lambda c: F.struct(c.alias("company_id"), aliases(c).alias("matched_text")))
+
+    found = _with_verified_hits(articles, dim_aliases, up_to)
+    return _mentions(_exploded(found, bound(F.col("_ranked"), listed)))

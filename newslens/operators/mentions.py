@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.functions.sentiment import Scorer, ai_label_folded, ai_label_score, sentiment_label
+from newslens.functions.sentiment import Scorer, ai_label_folded, ai_label_score, scored, sentiment_label
 from newslens.functions.text import LEGACY_TEXT_LIMIT, article_text, nonblank, url_hash
 from newslens.operators.dedup import latest_sentiment
 from newslens.schemas import UNIFIED_COLUMNS
@@ -43,7 +43,14 @@ def article_enriched(articles: DataFrame, mentions: DataFrame, companies: DataFr
             "left",
         )
         .select(
-            *[f"a.{n}" for n in "article_id provider source_name title description content url published_at".split()],
+            "a.article_id",
+            "a.provider",
+            "a.source_name",
+            "a.title",
+            "a.description",
+            "a.content",
+            "a.url",
+            "a.published_at",
             "m.company_id",
             "c.ticker",
             "c.company_name",
@@ -58,15 +65,25 @@ def article_enriched(articles: DataFrame, mentions: DataFrame, companies: DataFr
 
 
 def batch_mentions(
-    articles: DataFrame, mentions: DataFrame, sentiment: DataFrame, trust_stored_hash: bool = False
-) -> DataFrame:
-    """Batch articles with a mention, each with its newest score, in the unified columns."""
+    articles: DataFrame, mentions: DataFrame, sentiment: DataFrame, trust_stored_hash: bool = False,
+    text_limit: int | None = LEGACY_TEXT_LIMIT,
+) -> DataFrame:
+    """Batch articles with a mention, each with its newest score, in the unified columns.
+
+    ``text_limit`` is the length that stored batch texts have in the reports; None keeps whole texts. The text is put together, and cut,
+    before the join, so that no other text column is shuffled.
+    """
+    text = article_text("title", "description", "content")
+    narrow = articles.select(
+        "article_id", "provider", "source_name", "url", "url_hash", "published_at", "ingested_at",
+        (F.left(text, F.lit(text_limit)) if text_limit else text).alias("article_text"),
+    )
     keys = ["article_id", "company_id"]
-    scored = mentions.select(*keys).join(
+    newest = mentions.select(*keys).join(
         latest_sentiment(sentiment).select(*keys, "sentiment_score", "sentiment_label", "model_name"), keys, "left"
     )
     return (
-        articles.join(scored, "article_id")
+        narrow.join(newest, "article_id")
         .select(
             F.col("article_id").cast("string").alias("record_id"),
             F.coalesce("provider", F.lit(BATCH_PROVIDER)).alias("provider"),
@@ -77,7 +94,7 @@ def batch_mentions(
             "company_id",
             F.coalesce("sentiment_score", F.lit(0.0)).alias("sentiment_score"),
             F.coalesce("sentiment_label", F.lit("neutral")).alias("sentiment_label"),
-            F.left(article_text("title", "description", "content"), F.lit(LEGACY_TEXT_LIMIT)).alias("article_text"),
+            "article_text",
             F.col("ingested_at").alias("loaded_at"),
             F.coalesce("model_name", F.lit(UNKNOWN_MODEL)).alias("sentiment_model"),
             F.lit(BATCH_PATH).alias("ingest_path"),
@@ -155,24 +172,28 @@ def ai_scores(flattened: DataFrame, scored_at: Column) -> DataFrame:
 
 def mention_texts(mentions: DataFrame, articles: DataFrame) -> DataFrame:
     """(article_id, company_id, text_blob) of the mentions whose article has any text."""
-    texts = articles.select("article_id", article_text("title", "description", "content").alias("text_blob")).where(
-        nonblank("text_blob")
-    )
-    return mentions.select("article_id", "company_id").join(texts, "article_id")
+    return mentions.select("article_id", "company_id").join(article_texts(articles), "article_id")
+
+
+def article_texts(articles: DataFrame) -> DataFrame:
+    """(article_id, text_blob) of the articles with any text."""
+    texts = articles.select("article_id", article_text("title", "description", "content").alias("text_blob"))
+    return texts.where(nonblank("text_blob"))
 
 
 def score_mentions(
-    mentions: DataFrame, articles: DataFrame, scorer: Scorer, model_name: str, scored_at: Column, reasoning: str | None = None
+    mentions: DataFrame, articles: DataFrame, scorer: "Scorer | DataFrame", model_name: str, scored_at: Column, reasoning: str | None = None
 ) -> DataFrame:
-    """Sentiment rows from a scorer (text column to score column).
+    """Sentiment rows from a scorer: text column to score column, or a word list of any size.
 
     A text is scored once per article, where it lies; only (article_id, score) meets the mentions. Dropping articles
     without mention before scoring would save scorer calls but shuffle every text.
     """
-    texts = articles.select("article_id", article_text("title", "description", "content").alias("text_blob")).where(
-        nonblank("text_blob")
-    )
-    scores = texts.select("article_id", scorer(F.col("text_blob")).alias("sentiment_score"))
+    texts = article_texts(articles)
+    if isinstance(scorer, DataFrame):
+        scores = scored(texts, "text_blob", scorer, "sentiment_score").drop("text_blob")
+    else:
+        scores = texts.select("article_id", scorer(F.col("text_blob")).alias("sentiment_score"))
     return (
         mentions.select("article_id", "company_id")
         .join(scores, "article_id")

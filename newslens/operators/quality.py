@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +78,10 @@ def failed_window_report(ledger: DataFrame) -> DataFrame:
     )
 
 
+#: How long the log waits for the count of a frame.
+WAIT_SECONDS = 5
+
+
 class RunLog:
     """Metrics of one run, taken while its data passes, appended to a table as one row.
 
@@ -109,15 +115,24 @@ class RunLog:
         return self
 
     def __exit__(self, kind, error, trace) -> bool:
+        counts = self._counts()
         if error is not None:
-            row = self._row("failed", str(error), {})
+            row = self._row("failed", str(error), counts)
         else:
-            counts = {name: counter.get["rows"] for name, counter in self._counters.items()}
             status = "partial_success" if self._errors else "success"
             row = self._row(status, " | ".join(self._errors) or None, counts)
         self._spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").parquet(self._path)
         return False
 
+    def _counts(self) -> dict[str, int]:
+        """Rows of the counted frames. One that no job has evaluated has none and is not waited for longer than WAIT_SECONDS."""
+        counts: dict[str, int] = {}
+        for name, counter in self._counters.items():
+            asked = threading.Thread(target=lambda n=name, c=counter: counts.update({n: c.get["rows"]}), daemon=True)
+            asked.start()
+            asked.join(WAIT_SECONDS)
+        return dict(counts)
+
     def _row(self, status: str, message: str | None, counts: dict[str, int]) -> tuple:
         message = message[:ERROR_LIMIT] if message else None
         return (

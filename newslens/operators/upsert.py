@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.operators.dedup import keep_first
+from newslens.operators.numbering import number_inserted
 
 
 def last_per_key(source: DataFrame, keys: list[str], sequence: Column) -> DataFrame:
@@ -77,28 +78,30 @@ def missing(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return source.join(target.select(*keys), keys, "left_anti")
 
 
-def upsert_articles(target: DataFrame, source: DataFrame, loaded_at: Column, sequence: Column) -> DataFrame:
-    """Batch articles by (provider, url): all fields replaced, load time renewed, duplicate flag cleared.
-
-    New rows come without ``article_id``; ``operators.dimensions.number_new_rows`` gives them one.
-    """
+def upsert_articles(
+    target: DataFrame, source: DataFrame, loaded_at: Column, sequence: Column, small_source: bool = False
+) -> DataFrame:
+    """Batch articles by (provider, url): all fields replaced, load time renewed, duplicate flag cleared; new rows numbered."""
     keys = ["provider", "url"]
     fresh = {"ingested_at": loaded_at, "is_duplicate": F.lit(False)}
     update = [c for c in target.columns if c in source.columns and c not in (*keys, "article_id", *fresh)]
-    return upsert(target, last_per_key(source, keys, sequence), keys, update, fresh, fresh)
+    merged = upsert(target, last_per_key(source, keys, sequence), keys, update, fresh, fresh, small_source)
+    return number_inserted(merged, keys, "article_id", target) if "article_id" in target.columns else merged
 
 
-def upsert_mentions(target: DataFrame, source: DataFrame, created_at: Column) -> DataFrame:
-    """Mentions by (article_id, company_id); ``source`` comes from a batch matcher, so its key is unique."""
+def upsert_mentions(target: DataFrame, source: DataFrame, created_at: Column, small_source: bool = False) -> DataFrame:
+    """Mentions by (article_id, company_id); ``source`` comes from a batch matcher, so its key is unique. New rows are numbered."""
+    keys = ["article_id", "company_id"]
     update = ["match_method", "confidence", "matched_text", "mention_context"]
     fresh = {"created_at": created_at}
-    return upsert(target, source, ["article_id", "company_id"], update, fresh, fresh)
+    merged = upsert(target, source, keys, update, fresh, fresh, small_source)
+    return number_inserted(merged, keys, "mention_id", target) if "mention_id" in target.columns else merged
 
 
-def upsert_daily_mart(target: DataFrame, source: DataFrame) -> DataFrame:
+def upsert_daily_mart(target: DataFrame, source: DataFrame, small_source: bool = False) -> DataFrame:
     """Daily mart by (metric_date, company_id); ``source`` is an aggregate by that key."""
     keys = ["metric_date", "company_id"]
-    return upsert(target, source, keys, [c for c in target.columns if c not in keys])
+    return upsert(target, source, keys, [c for c in target.columns if c not in keys], small_source=small_source)
 
 
 def replace_models(existing: DataFrame, scored: DataFrame, retired: list[str]) -> DataFrame:

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from newslens.functions import clock, sentiment, text
 from newslens.operators import dedup, dimensions, marts, matching, mentions, quality, tiles, upsert
+from newslens.plans import refresh
 from newslens.plans.corpus import as_of, corpus, dim_aliases, ntz, table, word_list
 from newslens.schemas import EVENT_FIELDS
 from newslens.session import working_path
 from newslens.sources import envelope, providers
+from newslens.sources.tables import rebuild
 from newslens.streaming import pipeline, sink
 from newslens.streaming import dedup as stream_dedup
 
@@ -99,6 +101,34 @@ def normalize_rss(spark, sf):
     return providers.normalize_rss(feeds).select(*EVENT_FIELDS, "published_at_inferred")
 
 
+def _atom(spark, sf) -> DataFrame:
+    """The articles as Atom documents; Spanish ones are torn, those without source are blank."""
+    def tag(name: str, value) -> Column:
+        escaped = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.concat(F.lit(f"<{name}>"), escaped, F.lit(f"</{name}>"))
+
+    stamp = F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    entry = F.concat(
+        F.lit('<entry><link rel="self" href="x:/self"/><link href="'), "url", F.lit('"/>'), tag("id", F.col("article_id").cast("string")),
+        tag("updated", stamp), tag("title", F.col("title")), tag("summary", F.coalesce("description", F.lit("none"))), F.lit("</entry>"),
+    )
+    whole = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), tag("title", F.col("language")), entry, F.lit("</feed>"))
+    body = F.when(F.col("source_name").isNull(), " ").when(F.col("language") == "es", F.left(whole, F.lit(60))).otherwise(whole)
+    return corpus(spark, sf).articles.select("article_id", body.alias("body"), "ingested_at")
+
+
+@query
+def normalize_atom(spark, sf):
+    return providers.normalize_rss(_atom(spark, sf)).select(
+        "url", "provider_article_id", "published_at", "title", "description", "source_name", "published_at_inferred"
+    )
+
+
+@query
+def feed_problems(spark, sf):
+    return providers.feed_problems(_atom(spark, sf)).select("article_id", "reason")
+
+
 def _wire_events(spark, sf) -> DataFrame:
     """Realtime events as they travel: text columns only."""
     return corpus(spark, sf).events.select(
@@ -282,10 +312,10 @@ def match_substring(spark, sf):
 
 
 def many_aliases(spark, sf) -> DataFrame:
-    """Some thousand aliases: the words of four letters or more of the benchmark passages, each of its first passage."""
+    """Some thousand aliases: the words of three letters or more of the benchmark passages, each of its first passage."""
     words = table(spark, sf, "benchmark").select("item_id", F.explode(sentiment.word_tokens(F.col("text"))).alias("w"))
     return (
-        words.where(F.length("w") >= 4)
+        words.where(F.length("w") >= 3)
         .groupBy(F.col("w").alias("alias_norm"))
         .agg(F.min("item_id").alias("company_id"))
     )
@@ -294,7 +324,24 @@ def many_aliases(spark, sf) -> DataFrame:
 @query
 def match_substring_many(spark, sf):
     rows = corpus(spark, sf).events.select("article_id", "article_text")
-    return matching.match_substring(rows, many_aliases(spark, sf), key="article_id").select("article_id", "company_id")
+    return matching.match_substring(rows, many_aliases(spark, sf)).select("article_id", "company_id")
+
+
+@query
+def match_substring_by_join(spark, sf):
+    """The same rows as ``match_substring`` by the plan for alias tables of any size."""
+    names = matching.load_aliases(dim_aliases(spark))
+    return matching.match_substring(corpus(spark, sf).events, names, up_to=0).select(*MATCH_LIST)
+
+
+@query
+def match_best_alias_by_join(spark, sf):
+    return matching.match_best_alias(corpus(spark, sf).articles, corpus(spark, sf).dim_aliases, up_to=0)
+
+
+@query
+def match_alias_list_by_join(spark, sf):
+    return matching.match_alias_list(corpus(spark, sf).articles, corpus(spark, sf).dim_aliases, up_to=0)
 
 
 @query
@@ -366,14 +413,15 @@ def anti_join_insert(spark, sf):
 
 @query
 def upsert_articles(spark, sf):
-    known = corpus(spark, sf).articles.where(F.col("provider").isNotNull())
+    """All articles: English, French and Spanish ones are there, French, German and Spanish ones come (those without provider match nothing)."""
+    known = corpus(spark, sf).articles
     keys = ["provider", "url"]
     fields = [*keys, "title", "source_name", "published_at"]
-    target = upsert.last_per_key(
-        known.where(F.col("language").isin("en", "fr")), keys, F.col("article_id")
-    ).select(*fields, "ingested_at").withColumn("title", F.lit("old")).withColumn("is_duplicate", F.lit(True))
-    source = known.where(F.col("language").isin("fr", "de")).select(*fields, "article_id")
-    return upsert.upsert_articles(target, source, as_of(), F.col("article_id"))
+    old = known.where(F.col("language").isin("en", "fr", "es"))
+    target = upsert.last_per_key(old, keys, F.col("article_id")).select("article_id", *fields, "ingested_at")
+    target = target.withColumn("title", F.lit("old")).withColumn("is_duplicate", F.lit(True))
+    source = known.where(F.col("language").isin("fr", "de", "es")).select(*fields, F.col("article_id").alias("sequence"))
+    return upsert.upsert_articles(target, source, as_of(), F.col("sequence"))
 
 
 @query
@@ -397,13 +445,19 @@ def upsert_daily_mart(spark, sf):
 
 @query
 def insert_only_merge(spark, sf):
-    return upsert.insert_missing(_order_aliases(spark, sf, True), _order_aliases(spark, sf), ["company_id", "alias"])
+    """The table has finished orders' aliases of every company, and one of its own for each; the source has all orders'."""
+    own = table(spark, sf, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("alias"))
+    target = _order_aliases(spark, sf, True).unionByName(own).withColumn("kind", F.lit("old"))
+    source = _order_aliases(spark, sf).withColumn("kind", F.lit("new"))
+    return upsert.insert_missing(target, source, ["company_id", "alias"])
 
 
 @query
 def replace_model_rows(spark, sf):
+    """Both models' rows and those of one that stays; the retired ones make way for new scores."""
+    stays = corpus(spark, sf).rule_sentiment.withColumn("model_name", F.lit("house_model_v2"))
     fresh = corpus(spark, sf).ai_sentiment
-    return upsert.replace_models(corpus(spark, sf).sentiment, fresh, list(mentions.RETIRED_MODELS))
+    return upsert.replace_models(corpus(spark, sf).sentiment.unionByName(stays), fresh, list(mentions.RETIRED_MODELS))
 
 
 # --- dedup ------------------------------------------------------------------------------------------------------------
@@ -425,6 +479,18 @@ def latest_url_company(spark, sf):
     return corpus(spark, sf).unified
 
 
+@query
+def refresh_incremental(spark, sf):
+    """The unified table by a refresh up to marks in every source table, then one from what came after them."""
+    own = corpus(spark, sf)
+    marks = {"articles": "2024-01-04", "mentions": "2024-03-01 00:04:00", "sentiment": "2024-03-01 00:30:00", "base": "2024-01-03"}
+    marks = {name: ntz(at) for name, at in marks.items()}
+    tables = {"articles": own.articles, "mentions": own.mentions, "sentiment": own.sentiment, "base": own.base}
+    before = {name: df.where(F.col(refresh.MARKED[name]) <= marks[name]) for name, df in tables.items()}
+    previous = rebuild(dedup.latest_url_company(refresh.unify(*before.values())), working_path(spark, "unified"))
+    return refresh.refresh_unified_incremental(previous, **tables, marks=marks)
+
+
 @query
 def latest_sentiment(spark, sf):
     return dedup.latest_sentiment(corpus(spark, sf).sentiment)

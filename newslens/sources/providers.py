@@ -18,7 +18,8 @@ from newslens.schemas import EVENT_FIELDS
 # Fields of the providers' items, and the defaults of missing ones.
 GDELT_ITEM = "struct<url:string,seendate:string,title:string,socialimage:string,excerpt:string,domain:string,sourcecountry:string,language:string>"
 NEWSAPI_ITEM = "struct<source:struct<name:string>,author:string,title:string,description:string,content:string,url:string,publishedAt:string>"
-FEED = "channel struct<title:string,item:array<struct<link:string,id:string,guid:string,title:string,published:string,pubDate:string,summary:string,description:string,author:string,source:string>>>"
+ATOM_LINK = "array<struct<_href:string,_rel:string>>"
+FEED = f"title string, entry array<struct<link:{ATOM_LINK},id:string,title:string,published:string,updated:string,summary:string,content:string,author:struct<name:string>>>, " + "channel struct<title:string,item:array<struct<link:string,id:string,guid:string,title:string,published:string,pubDate:string,summary:string,description:string,author:string,source:string>>>"
 DEFAULT_LANGUAGE = "en"
 BATCH_PROVIDER = "NEWSAPI"
 DEFAULT_NEWSAPI_SOURCE = "unknown"
@@ -161,25 +162,59 @@ def response_problems(payloads: DataFrame) -> DataFrame:
     return payloads.where(failed).select("body", F.left("body", F.lit(300)).alias("error_message"))
 
 
+def feed_problems(feeds: DataFrame) -> DataFrame:
+    """Feed documents that cannot be read, with the reason: blank, or neither RSS nor Atom (torn documents included)."""
+    feed = F.from_xml("body", FEED)
+    blank = F.col("body").isNull() | (strip_all("body") == "")
+    unreadable = feed["channel"].isNull() & feed["entry"].isNull() & ~F.col("body").rlike(r"(?s)<feed[\s>].*</feed>\s*$")
+    reason = F.when(blank, "blank body").when(F.coalesce(unreadable, F.lit(True)), "not a feed")
+    return feeds.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def _feed_items(feeds: DataFrame) -> DataFrame:
+    """One row per item of RSS and Atom documents, in common fields; an unreadable document has none (see ``feed_problems``)."""
+    feed = F.from_xml("body", FEED)
+    rss = F.transform(
+        feed["channel"]["item"],
+        lambda item: F.struct(
+            item["link"].alias("link"), first_nonblank(item["id"], item["guid"]).alias("id"), item["title"].alias("title"),
+            first_nonblank(item["published"], item["pubDate"]).alias("published"),
+            first_nonblank(item["summary"], item["description"], default="").alias("summary"),
+            item["author"].alias("author"), item["source"].alias("source"), F.to_json(item).alias("raw_json"),
+        ),
+    )
+
+    def page(links: Column) -> Column:
+        """The link to the page itself: of kind alternate or of no kind."""
+        own = F.filter(links, lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate")
+        return F.get(F.coalesce(F.when(F.size(own) > 0, own), links), F.lit(0))["_href"]
+
+    atom = F.transform(
+        feed["entry"],
+        lambda item: F.struct(
+            page(item["link"]).alias("link"), item["id"].alias("id"), item["title"].alias("title"),
+            first_nonblank(item["published"], item["updated"]).alias("published"),
+            first_nonblank(item["summary"], item["content"], default="").alias("summary"),
+            item["author"]["name"].alias("author"), F.lit(None).cast("string").alias("source"), F.to_json(item).alias("raw_json"),
+        ),
+    )
+    title = F.coalesce(feed["channel"]["title"], feed["title"])
+    return feeds.select("ingested_at", title.alias("feed"), F.posexplode(F.coalesce(rss, atom)).alias("at", "item"))
+
+
 def normalize_rss(feeds: DataFrame, provider: str = "rss") -> DataFrame:
-    """Feed documents (RSS) to events. An item without ``source`` takes the feed's title, else the provider's name."""
-    channel = F.from_xml("body", FEED)["channel"]
-    items = (
-        feeds.select("ingested_at", channel.alias("_channel"))
-        .select("ingested_at", F.col("_channel.title").alias("feed"), F.posexplode("_channel.item").alias("at", "item"))
-        .withColumn("raw_json", F.to_json("item"))
-    )
+    """Feed documents (RSS or Atom) to events. An item without ``source`` takes the feed's title, else the provider's name."""
+    items = _feed_items(feeds).withColumn("raw_json", F.col("item.raw_json"))
     item = F.col("item")
-    summary = first_nonblank(item["summary"], item["description"], default="")
     return _events(
         items,
         provider,
         url=item["link"],
-        published=parse_mail_date(first_nonblank(item["published"], item["pubDate"])),
-        provider_article_id=F.coalesce(first_nonblank(item["id"], item["guid"]), F.sha2(item["link"], 256)),
+        published=F.coalesce(parse_mail_date(item["published"]), parse_iso(item["published"])),
+        provider_article_id=F.coalesce(item["id"], F.sha2(item["link"], 256)),
         title=_text(item["title"]),
-        description=summary,
-        content=summary,
+        description=item["summary"],
+        content=item["summary"],
         source_name=F.coalesce(item["source"], F.col("feed"), F.lit(provider)),
         author=_text(item["author"]),
         language=F.lit(DEFAULT_LANGUAGE),

@@ -77,25 +77,45 @@ def merge_touched(
 ) -> None:
     """Merge rows into a table partitioned by a column of the merge key, such as the day of a mart.
 
-    Only the partitions the source has rows for are read and rewritten. The source is written to the shared folder
-    first, so it is evaluated once; its distinct partition values come to the driver, never its rows.
+    Only the partitions the source has rows for are read and rewritten; the table keeps all its columns, and a source with others is
+    refused. Source and merged rows are written to the shared folder first: the source is evaluated once, and no partition is
+    replaced before its new rows are complete. Distinct partition values come to the driver, never rows.
     """
     spark = source.sparkSession
-    staging = working_path(spark, "merge")
-    source.write.parquet(staging)
-    staged = spark.read.parquet(staging)
+    staged = _staged(source)
     values = [row[0] for row in staged.select(partition).distinct().collect()]
     if not values:
         return
     if path_exists(spark, path):
-        target = spark.read.parquet(path).where(F.col(partition).isin(*values)).select(*source.columns)
-        staged = merge(target, staged)
+        target = spark.read.parquet(path)
+        unknown = set(source.columns) - set(target.columns)
+        if unknown:
+            raise ValueError(f"the table has no column {sorted(unknown)}")
+        touched = target.where(F.col(partition).isin(*values))
+        staged = _staged(merge(touched, staged).select(*target.columns))
     overwrite_touched(staged, path, [partition])
 
 
-def replace_model_partitions(scored: DataFrame, path: str, model_name: str, retired: list[str]) -> None:
-    """On a sentiment table partitioned by model: write one model's rows and empty the retired models."""
-    overwrite_partition(scored.where(scored["model_name"] == model_name), path, "model_name", model_name)
+def _staged(df: DataFrame) -> DataFrame:
+    staging = working_path(df.sparkSession, "staged")
+    df.write.parquet(staging)
+    return df.sparkSession.read.schema(df.schema).parquet(staging)
+
+
+def replace_model_partitions(scored: DataFrame, path: str, retired: list[str]) -> None:
+    """On a sentiment table partitioned by model: replace every model that ``scored`` has rows of, empty the retired ones."""
+    spark = scored.sparkSession
+    staged = _staged(scored)
+    models = {row[0] for row in staged.select("model_name").distinct().collect()}
+    if models:
+        overwrite_touched(staged, path, ["model_name"])
     for name in retired:
-        if name != model_name and path_exists(scored.sparkSession, f"{path}/model_name={name}"):
-            overwrite_partition(scored.limit(0), path, "model_name", name)
+        if name not in models and path_exists(spark, f"{path}/model_name={name}"):
+            overwrite_partition(staged.limit(0), path, "model_name", name)
+
+
+def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the newest committed versions of a published table."""
+    for number in _versions(spark, path, committed=True)[: -max(1, keep)]:
+        fs, hadoop = _filesystem(spark, f"{path}/{VERSION}{number}")
+        fs.delete(hadoop, True)

@@ -85,6 +85,36 @@ def test_merge_reads_and_rewrites_touched_days_only(spark, rows, tmp_path):
     assert tuples(got, "metric_date", "company_id") == [(one, 1, 1), (two, 1, 1), (two, 2, 7), (two, 3, 9)]
 
 
+def test_merge_keeps_the_columns_of_the_table(spark, rows, tmp_path):
+    path = str(tmp_path / "mentions")
+    tables.overwrite_touched(rows([(1, 1, 7, "old", "a")], "article_id int, company_id int, mention_id int, matched_text string, day string"), path, ["day"])
+
+    def merge(target, source):
+        return upsert.upsert(target, source, ["article_id", "company_id"], ["matched_text"])
+
+    tables.merge_touched(rows([(1, 1, "new", "a"), (2, 1, "x", "a")], "article_id int, company_id int, matched_text string, day string"), path, "day", merge)
+    got = spark.read.parquet(path).select("article_id", "mention_id", "matched_text")
+    assert tuples(got, "article_id") == [(1, 7, "new"), (2, None, "x")]
+    with pytest.raises(ValueError):
+        tables.merge_touched(rows([(1, "a", 1)], "article_id int, day string, other int"), path, "day", merge)
+
+
+def test_a_failed_merge_loses_nothing(spark, rows, tmp_path):
+    path, ddl = str(tmp_path / "m"), "day string, n int"
+    tables.overwrite_touched(rows([("a", 1)], ddl), path, ["day"])
+    with pytest.raises(Exception, match="stop"):
+        tables.merge_touched(rows([("a", 2)], ddl), path, "day", lambda t, s: t.unionByName(s).selectExpr("day", "raise_error('stop')::int AS n"))
+    assert tuples(spark.read.parquet(path).select("day", "n")) == [("a", 1)]
+
+
+def test_inserted_rows_are_numbered(rows):
+    target = rows([(1, 1, 5, "x", T1)], "article_id bigint, company_id bigint, mention_id bigint, matched_text string, created_at timestamp_ntz")
+    source = rows([(1, 1, "y"), (2, 1, "z"), (3, 1, "z")], "article_id bigint, company_id bigint, matched_text string")
+    for small in (False, True):
+        got = upsert.upsert_mentions(target, source, F.lit(T2).cast("timestamp_ntz"), small)
+        assert sorted(r.mention_id for r in got.collect()) == [5, 6, 7]
+
+
 def test_upsert_daily_mart(rows):
     ddl = "metric_date date, company_id bigint, article_count bigint, avg_sentiment double"
     day = date(2024, 1, 1)

@@ -12,18 +12,7 @@ from newslens.operators.dimensions import ALIASES
 ARTICLES = "article_id bigint, title string, description string, content string"
 
 
-def use_plan(monkeypatch, plan):
-    load = matching.AliasIndex.load.__func__
-    if plan == "each":
-        monkeypatch.setattr(matching.AliasIndex, "load", classmethod(lambda cls, r: load(cls, r, 10**6)))
-    elif plan == "automaton":
-        pytest.importorskip("ahocorasick")
-        monkeypatch.setattr(matching.AliasIndex, "load", classmethod(lambda cls, r: load(cls, r, 0)))
-    else:
-        monkeypatch.setattr(matching.AliasIndex, "load", classmethod(lambda cls, r: None))
-
-
-PLANS = pytest.mark.parametrize("plan", ["each", "automaton", "join"])
+PLANS = pytest.mark.parametrize("up_to", [10**6, 0], ids=["each", "join"])
 
 
 def sample(seed=7, count=60):
@@ -45,18 +34,17 @@ def like(text, alias):
 
 
 @PLANS
-def test_substring(rows, monkeypatch, plan):
-    use_plan(monkeypatch, plan)
+def test_substring(rows, up_to):
     articles, aliases = sample()
     texts = [(i, " ".join(x or "" for x in fields).strip()) for i, *fields in articles]
     names = matching.load_aliases(rows(aliases, "company_id bigint, alias string"))
-    matched = matching.match_substring(rows(texts, "event_id bigint, article_text string"), names)
+    matched = matching.match_substring(rows(texts, "event_id bigint, article_text string"), names, up_to=up_to)
     expected = sorted(
         (i, t, c) for i, t in texts for c, a in aliases if a.strip(" ") and a.lower() in t.lower()
     )
     assert sorted(tuples(matched.select("event_id", "article_text", "company_id"))) == expected
     once = matching.match_substring(
-        rows(texts, "event_id bigint, article_text string"), names, per_alias_hit=False
+        rows(texts, "event_id bigint, article_text string"), names, per_alias_hit=False, up_to=up_to
     )
     assert sorted(tuples(once.select("event_id", "article_text", "company_id"))) == sorted(set(expected))
 
@@ -75,10 +63,9 @@ def found_aliases(articles, aliases):
 
 
 @PLANS
-def test_best_alias(rows, monkeypatch, plan):
-    use_plan(monkeypatch, plan)
+def test_best_alias(rows, up_to):
     articles, aliases = sample(11)
-    got = matching.match_best_alias(rows(articles, ARTICLES), rows(aliases, "company_id bigint, alias string"))
+    got = matching.match_best_alias(rows(articles, ARTICLES), rows(aliases, "company_id bigint, alias string"), up_to)
     expected = {
         key: min(found, key=lambda h: (h[0], -len(h[1]), h[1].encode()))[1]
         for key, found in found_aliases(articles, aliases).items()
@@ -88,10 +75,9 @@ def test_best_alias(rows, monkeypatch, plan):
 
 
 @PLANS
-def test_alias_list(rows, monkeypatch, plan):
-    use_plan(monkeypatch, plan)
+def test_alias_list(rows, up_to):
     articles, aliases = sample(13)
-    got = matching.match_alias_list(rows(articles, ARTICLES), rows(aliases, "company_id bigint, alias string"))
+    got = matching.match_alias_list(rows(articles, ARTICLES), rows(aliases, "company_id bigint, alias string"), up_to)
     expected = {
         key: ", ".join(sorted({a for _, a in found}, key=lambda a: a.encode()))
         for key, found in found_aliases(articles, aliases).items()
@@ -125,12 +111,11 @@ def test_match_is_scored_once_and_only_if_matched(rows):
     ]
 
 
-def test_no_aliases_no_rows(rows, monkeypatch):
+def test_no_aliases_no_rows(rows):
     aliases = matching.load_aliases(rows([], "company_id bigint, alias string"))
     text = rows([(1, "x y")], "event_id bigint, article_text string")
     for plan in ("each", "join"):
-        use_plan(monkeypatch, plan)
-        assert matching.match_substring(text, aliases).count() == 0
+            assert matching.match_substring(text, aliases).count() == 0
 
 
 def test_two_companies_per_seed_alias():

@@ -65,6 +65,9 @@ def test_run_log(spark, rows, tmp_path):
         log.reading(source).write.format("noop").mode("overwrite").save()
         log.problem("first")
         log.problem("y" * 600)
+    quality.WAIT_SECONDS = 1
+    with quality.RunLog(spark, path, "r4", "p", "scheduled", "NEWSAPI") as log:
+        log.reading(source)  # never evaluated: not waited for
     with pytest.raises(ValueError), quality.RunLog(spark, path, "r3", "p", "scheduled", "NEWSAPI"):
         raise ValueError("broken")
     got = read_log(spark, path)
@@ -74,34 +77,40 @@ def test_run_log(spark, rows, tmp_path):
     assert (got["r3"].status, got["r3"].error_message, got["r3"].records_read) == ("failed", "broken", 0)
 
 
-def unified_row(record, url, company, score, loaded, path="legacy"):
-    label = "positive" if score > 0 else "neutral"
-    values = (record, "gdelt", "s", url, url, START, company, score, label, "text", loaded, "m", path)
-    assert len(values) == len(UNIFIED_COLUMNS)
-    return values
-
-
-DDL = ", ".join(
-    f"{c} " + {"published_at_ts": "timestamp_ntz", "loaded_at": "timestamp_ntz", "company_id": "bigint",
-               "sentiment_score": "double"}.get(c, "string")
-    for c in UNIFIED_COLUMNS
-)
-
-
 def test_incremental_refresh_equals_full_refresh(spark, rows, tmp_path):
+    """Late mentions, scores, articles and events, one of which moves to another url, change what a full refresh changes."""
+    at = lambda days: START + timedelta(days=days)
     companies = rows([(1, "A", "a"), (2, "B", "b")], "company_id bigint, ticker string, company_name string")
-    mark = START + timedelta(days=1)
-    old = [unified_row("1", "u", 1, 0.5, START), unified_row("2", "v", 2, 0.0, mark)]
-    new = [unified_row("3", "u", 1, 0.0, mark + timedelta(hours=1), "realtime"),
-           unified_row("4", "w", 2, 0.9, mark + timedelta(hours=2), "realtime")]
+    article = "article_id bigint, provider string, source_name string, url string, url_hash string, published_at timestamp_ntz, title string, description string, content string, ingested_at timestamp_ntz"
+    articles = [(k, "p", "s", f"u{k}" if k != 4 else None, None, START, "t", None, "c", at(0 if k < 5 else 3)) for k in range(1, 6)]
+    mentions = [(k, 1, at(0)) for k in (1, 3, 4)] + [(2, 2, at(2)), (5, 1, at(0))]
+    scores = [(1, 1, 1, 0.0, "neutral", "m", at(0)), (2, 1, 1, 0.9, "positive", "m", at(2)), (3, 3, 1, 0.1, "positive", "m", at(0))]
+    event = ["event_id", "provider", "url", "url_hash", "published_at_ts", "company_id", "sentiment_score", "source_name", "article_text", "ingest_batch_id", "loaded_at"]
+    base = [("e1", "g", "u3", None, START, 1, 0.5, "s", "x", "0", at(1)), ("e1", "g", "v9", None, START, 1, 0.7, "s", "x", "1", at(2)),
+            ("e2", "g", None, None, START, 2, 0.2, "s", "x", "0", at(0))]
+    types = {"company_id": "bigint", "sentiment_score": "double", "published_at_ts": "timestamp_ntz", "loaded_at": "timestamp_ntz"}
+    tables = [
+        rows(articles, article),
+        rows(mentions, "article_id bigint, company_id bigint, created_at timestamp_ntz"),
+        rows(scores, "sentiment_id bigint, article_id bigint, company_id bigint, sentiment_score double, sentiment_label string, model_name string, scored_at timestamp_ntz"),
+        rows(base, ", ".join(f"{c} {types.get(c, 'string')}" for c in event)),
+    ]
+    marks = dict.fromkeys(refresh.MARKED, ntz(at(1).strftime("%Y-%m-%d %H:%M:%S")))
+    old = [df.where(F.col(column) <= marks[name]) for df, (name, column) in zip(tables, refresh.MARKED.items(), strict=True)]
     step, full = str(tmp_path / "step"), str(tmp_path / "full")
-    refresh.refresh_incremental(rows(old, DDL), ntz(START), companies, step)
-    after = refresh.refresh_incremental(rows(old + new, DDL), ntz(mark), companies, step)
-    expected = refresh.refresh(rows(old + new, DDL), companies, full)
+    refresh.refresh_incremental(*old, marks, companies, step)
+    after = refresh.refresh_incremental(*tables, marks, companies, step)
+    expected = refresh.refresh(refresh.unify(*tables), companies, full)
     assert set(after) == set(expected) and len(after) == 6
     for name in expected:
         assert sorted(map(str, tuples(after[name]))) == sorted(map(str, tuples(expected[name]))), name
-    assert tuples(after["daily_trend"])[0][:2] == (date(2024, 1, 1), 3)
+    assert {(r.record_id, r.sentiment_score) for r in after["unified"].collect()} >= {("1", 0.9), ("2", 0.0), ("e1", 0.7)}
+
+
+def test_late_rows_are_found_before_any_window(spark):
+    base = spark.range(10).selectExpr("cast(id as string) event_id", "id company_id", "current_date()::timestamp_ntz loaded_at")
+    late = refresh._late(base, "base", {"base": ntz("2024-01-01 00:00:00")})
+    assert "Window" not in late._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_working_folder_is_shared_within_the_session(spark):

@@ -138,3 +138,22 @@ def test_score_by_join_equals_expression(rows):
     joined = {r["k"]: r["sentiment_score"] for r in s.lexicon_scores_by_join(texts, "k", "t", table).collect()}
     direct = {r["k"]: r["x"] for r in texts.select("k", lexicon(rows).core_score(F.col("t")).alias("x")).collect()}
     assert joined == direct
+
+
+def test_words_of_any_script_and_with_apostrophes_score(rows):
+    table = rows([("don't", -2.0), ("sch\u00f6n", 2.5), ("\u0445\u043e\u0440\u043e\u0448\u043e", 1.5)], "token string, valence double")
+    texts = rows([(1, "DON'T"), (2, "Sch\u00f6n."), (3, "'\u0445\u043e\u0440\u043e\u0448\u043e'"), (4, "don"), (None, None)], "k bigint, t string")
+    direct = s.scored(texts, "t", table, "x")
+    joined = s.scored_by_join(texts, "t", table, "x")
+    assert sorted(map(str, direct.collect())) == sorted(map(str, joined.collect()))
+    got = {r.k: r.x for r in direct.collect()}
+    assert got[1] < 0 < got[3] < got[2] and got[4] == got[None] == 0.0
+
+
+def test_word_list_beyond_the_limit_is_joined(rows, monkeypatch):
+    monkeypatch.setattr(s, "bounded_rows", lambda df: None)
+    table = rows(list(WORDS.items()), "token string, valence double")
+    texts = rows([(None, t) for t in sentences(40)] * 2, "k bigint, t string")
+    got = sorted(r.x for r in s.scored(texts, "t", table, "x").collect())
+    monkeypatch.undo()
+    assert got == sorted(r.x for r in s.scored(texts, "t", table, "x").collect())

@@ -158,6 +158,23 @@ def test_published_versions_replace_each_other(spark, rows, tmp_path):
     (tmp_path / "t" / "version=9").mkdir()  # a run that died before its commit
     assert tables.current(spark, path).count() == 1
     assert tables.publish(rows([(5,)], "a int"), path) == 10
+    tables.remove_old_versions(spark, path, keep=1)
+    assert tables.current(spark, path).count() == 1 and not (tmp_path / "t" / "version=1").exists()
+
+
+def test_feeds_of_both_kinds(rows):
+    rss = "<rss><channel><title>R</title><item><link>http://a</link><title>t</title><pubDate>Mon, 01 Jan 2024 10:00:00 GMT</pubDate></item></channel></rss>"
+    atom = (
+        '<feed xmlns="http://www.w3.org/2005/Atom"><title>A</title><entry><link rel="self" href="http://s"/><link href="http://b"/>'
+        "<id>1</id><title>u</title><updated>2024-01-02T10:00:00Z</updated><content>c</content><author><name>n</name></author></entry></feed>"
+    )
+    bodies = [rss, atom, rss[:60], atom[:90], "", None, "<html></html>", '<feed xmlns="http://www.w3.org/2005/Atom"></feed>']
+    feeds = rows([(b, NOW) for b in bodies], "body string, ingested_at timestamp_ntz")
+    got = {r.url: r for r in providers.normalize_rss(feeds).collect()}
+    assert set(got) == {"http://a", "http://b"} and got["http://b"].author == "n" and got["http://b"].content == "c"
+    assert got["http://b"].published_at.startswith("2024-01-02T10:00:00") and got["http://a"].source_name == "R"
+    problems = sorted(map(str, ((r.body, r.reason) for r in providers.feed_problems(feeds).collect())))
+    assert problems == sorted(map(str, [(b, "not a feed") for b in (rss[:60], atom[:90], "<html></html>")] + [("", "blank body"), (None, "blank body")]))
 
 
 def test_touched_partitions_only(spark, rows, tmp_path):
@@ -174,7 +191,7 @@ def test_retired_models_are_emptied(spark, rows, tmp_path):
     path, ddl = str(tmp_path / "s"), "article_id bigint, model_name string"
     tables.overwrite_touched(rows([(1, "rule_based_v1"), (2, "ai_sentiment_v1"), (3, "x")], ddl), path, ["model_name"])
     tables.replace_model_partitions(
-        rows([(9, "ai_sentiment_v1")], ddl), path, "ai_sentiment_v1", ["rule_based_v1", "ai_sentiment_v1", "never_there"]
+        rows([(9, "ai_sentiment_v1"), (8, "second")], ddl), path, ["rule_based_v1", "ai_sentiment_v1", "never_there"]
     )
     got = spark.read.schema(ddl).parquet(path)
-    assert tuples(got.select("article_id", "model_name"), "article_id") == [(3, "x"), (9, "ai_sentiment_v1")]
+    assert tuples(got.select("article_id", "model_name"), "article_id") == [(3, "x"), (8, "second"), (9, "ai_sentiment_v1")]
