@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslens.functions.text import title_preview
 from newslens.functions.aggregates import exact_avg, label_counts, rounded_avg
 from newslens.functions.clock import time_bucket
 from newslens.operators.mentions import AI_MODEL, source_or_unknown
@@ -85,7 +86,7 @@ def sentiment_examples(unified: DataFrame, companies: DataFrame) -> DataFrame:
         "sentiment_score",
         F.col("published_at_ts").alias("published_at"),
         "source_name",
-        F.left("article_text", F.lit(250)).alias("title"),
+        title_preview("article_text").alias("title"),
         "url",
         F.col("sentiment_model").alias("reasoning"),
         F.col("loaded_at").alias("refreshed_at"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions.clock import iso_text
 from newslens.functions.sentiment import Lexicon, Scorer
-from newslens.functions.text import article_text, event_id, message_key, url_hash
+from newslens.functions.text import PREVIEW_LIMIT, article_text, event_id, message_key, title_preview, url_hash
 from newslens.operators.dedup import latest_event_company, latest_url_company
 from newslens.operators.matching import load_aliases, match_best_alias, match_substring
 from newslens.operators.mentions import (
@@ -193,8 +193,9 @@ class Corpus:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        """(article_id, company_id) of the mentions, shuffled by article once: a query that needs them several times
-        reuses this exchange of narrow rows instead of matching all texts again."""
+        """(article_id, company_id) of the mentions, shuffled by article. Where Spark keeps this exchange, a query that needs them
+        several times reuses it; with as many shuffle partitions as cores it is dropped and texts are matched again. Jobs write
+        the mentions once instead."""
         return self.mentions.select("article_id", "company_id").repartition("article_id")
 
     @cached_property
@@ -250,6 +251,13 @@ class Corpus:
     def realtime_side(self) -> DataFrame:
         return realtime_mentions(latest_event_company(self.base))
 
+    @cached_property
+    def unified_previews(self) -> DataFrame:
+        """The unified table with texts cut to previews before anything is sorted or shuffled."""
+        base = self.base.withColumn("article_text", title_preview("article_text"))
+        batch = batch_mentions(self.articles, self.pairs, self.sentiment, text_limit=PREVIEW_LIMIT)
+        return latest_url_company(unify_paths(batch, realtime_mentions(latest_event_company(base))))
+
     @cached_property
     def unified(self) -> DataFrame:
         """The unified table: both paths, newest row per (url, company)."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions import clock, sentiment, text
 from newslens.operators import dedup, dimensions, marts, matching, mentions, quality, tiles, upsert
-from newslens.plans import refresh
+from newslens.plans import batch, refresh
 from newslens.plans.corpus import as_of, corpus, dim_aliases, ntz, table, word_list
 from newslens.schemas import EVENT_FIELDS
 from newslens.session import working_path
@@ -61,17 +61,21 @@ def normalize_newsapi(spark, sf):
     return providers.normalize_newsapi(payloads).select(*EVENT_FIELDS, "published_at_inferred")
 
 
-@query
-def batch_articles(spark, sf):
-    """Batch rows from responses; the German ones report an error and are listed instead of loaded."""
+def _batch_payloads(spark, sf) -> DataFrame:
+    """Responses of one article each; the German ones report an error, the Spanish ones have no readable time."""
     item = {
         "source": F.struct(F.col("source_name").alias("name")), "title": F.col("title"), "content": F.col("content"),
         "description": F.col("description"), "url": F.col("url"),
         "publishedAt": F.when(F.col("language") == "es", "soon").otherwise(F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
     }
     failed = F.replace("body", F.lit('"ok"'), F.lit('"error"'))
-    payloads = _body(spark, sf, item).withColumn("body", F.when(F.col("body").contains("example.com/de/"), failed).otherwise(F.col("body")))
-    rows = providers.batch_articles(payloads, F.lit("b1"))
+    return _body(spark, sf, item).withColumn("body", F.when(F.col("body").contains("example.com/de/"), failed).otherwise(F.col("body")))
+
+
+@query
+def batch_articles(spark, sf):
+    """Batch rows from responses; the German ones report an error and are listed instead of loaded."""
+    rows = providers.batch_articles(_batch_payloads(spark, sf), F.lit("b1"))
     return rows.select(
         "provider", "provider_article_id", "source_name", "author", "title", "description", "content", "url", "url_hash",
         "published_at", "language", "load_batch_id", F.try_variant_get("raw_json", "$.title", "string").alias("raw_title"),
@@ -373,7 +377,7 @@ def realtime_mentions(spark, sf):
 
 @query
 def sentiment_examples(spark, sf):
-    return marts.sentiment_examples(corpus(spark, sf).unified, corpus(spark, sf).companies)
+    return marts.sentiment_examples(corpus(spark, sf).unified_previews, corpus(spark, sf).companies)
 
 
 @query
@@ -443,6 +447,17 @@ def upsert_daily_mart(spark, sf):
     return upsert.upsert_daily_mart(target, source)
 
 
+@query
+def batch_pipeline(spark, sf):
+    """Two runs of the batch job over all languages: English and French first, then French again with Spanish and German. The mart after them."""
+    payloads, root = _batch_payloads(spark, sf), working_path(spark, "batch")
+    scorer = sentiment.Lexicon.load(word_list(spark)).core_score
+    of = lambda *languages: F.col("body").rlike(f"example.com/({'|'.join(languages)})/")
+    batch.run_batch(payloads.where(of("en", "fr")), dim_aliases(spark), scorer, root, "r1", ntz("2024-06-01 00:00:00"))
+    again = payloads.where(of("fr", "es", "de"))
+    return batch.run_batch(again, dim_aliases(spark), scorer, root, "r2", ntz("2024-06-02 00:00:00"))["daily_mart"]
+
+
 @query
 def insert_only_merge(spark, sf):
     """The table has finished orders' aliases of every company, and one of its own for each; the source has all orders'."""
