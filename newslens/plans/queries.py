@@ -13,8 +13,9 @@ from newslens.plans import batch, refresh
 from newslens.plans.corpus import as_of, corpus, dim_aliases, ntz, table, word_list
 from newslens.schemas import EVENT_FIELDS
 from newslens.session import working_path
-from newslens.sources import envelope, providers
-from newslens.sources.tables import rebuild
+from newslens.sources import envelope, providers, staged
+from newslens.sources.tables import publish, rebuild
+from newslens.sources.tables import truncate_reload as truncate_reload_table
 from newslens.streaming import pipeline, sink
 from newslens.streaming import dedup as stream_dedup
 
@@ -156,6 +157,24 @@ def parse_envelope(spark, sf):
     return envelope.parse_envelope(messages).select("event_id", "provider", "url", "title", "description", "content")
 
 
+@query
+def read_staged_json(spark, sf):
+    """Orders staged as JSON lines and read back."""
+    path, columns = working_path(spark, "staged"), "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
+    table(spark, sf, "orders").select(*[c.split()[0] for c in columns.split(", ")]).write.json(path)
+    return staged.read_staged_json(spark, path, columns)
+
+
+@query
+def read_staged_csv(spark, sf):
+    """Customers staged as CSV and read back; the names of three nations are texts that mean null."""
+    path, nation = working_path(spark, "staged"), F.col("c_nationkey")
+    name = F.when(nation == 1, "").when(nation == 2, "NULL").when(nation == 3, "null").otherwise(F.concat(F.lit('a "b", '), "c_name"))
+    rows = table(spark, sf, "customer").select("c_custkey", name.alias("c_name"), "c_nationkey")
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return staged.read_staged_csv(spark, path, "c_custkey bigint, c_name string, c_nationkey int")
+
+
 @query
 def load_aliases(spark, sf):
     customers = table(spark, sf, "customer")
@@ -537,6 +556,46 @@ def dedup_aliases(spark, sf):
     return dedup.dedup_aliases(_alias_table(spark, sf))
 
 
+@query
+def truncate_reload(spark, sf):
+    """An alias table with duplicates, published and replaced by itself without them."""
+    path = working_path(spark, "aliases")
+    publish(_alias_table(spark, sf), path)
+    return truncate_reload_table(spark, path, dedup.dedup_aliases)
+
+
+@query
+def rebuild_report(spark, sf):
+    """A report published twice: of finished orders, then of all."""
+    path, orders = working_path(spark, "report"), table(spark, sf, "orders")
+    report = lambda df: df.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
+    rebuild(report(orders.where(F.col("o_orderstatus") == "F")), path)
+    return rebuild(report(orders), path)
+
+
+@query
+def run_log(spark, sf):
+    """The log row of a run that reads all events and writes the purchases."""
+    path, events = working_path(spark, "run-log"), table(spark, sf, "events")
+    with quality.RunLog(spark, path, "r1", "events", "manual", "events") as log:
+        kept = log.writing(log.reading(events).where(F.col("event_type") == "purchase"))
+        kept.write.format("noop").mode("overwrite").save()
+        log.problem("only purchases")
+    return spark.read.parquet(path).drop("run_started_at", "run_finished_at")
+
+
+@query
+def failed_window_report(spark, sf):
+    """A ledger with one line for each event: its day's window, its kind as the error."""
+    day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
+    ledger = table(spark, sf, "events").select(
+        clock.iso_text(F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")).alias("recorded_at"), clock.iso_text(day).alias("window_start"),
+        clock.iso_text(F.timestamp_add("DAY", F.lit(1), day)).alias("window_end"), F.col("user_id").alias("attempts"),
+        F.col("event_type").alias("error_type"), (F.col("event_type") == "click").alias("skipped"),
+    )
+    return quality.failed_window_report(ledger)
+
+
 @query
 def dedup_mentions(spark, sf):
     return dedup.dedup_mentions(corpus(spark, sf).repeated_mentions)
@@ -810,6 +869,24 @@ def dedup_stream_url(spark, sf):
     return spark.read.schema("url_hash string").parquet(out)
 
 
+@query
+def dedup_url_bounded(spark, sf):
+    """The bounded stream dedup: all messages arrive within its span, so each url stays once."""
+    stream_dedup.use_disk_state(spark)
+    out = working_path(spark, "deduplicated")
+    messages = _land(spark, _wire_events(spark, sf))
+    events = envelope.normalize_events(envelope.parse_envelope(messages)).select("url_hash", "kafka_timestamp")
+    run = (
+        stream_dedup.dedup_stream_url_bounded(events)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", working_path(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    run.awaitTermination()
+    return spark.read.schema("url_hash string").parquet(out)
+
+
 @query
 def backfill_coverage(spark, sf):
     events = table(spark, sf, "events")
