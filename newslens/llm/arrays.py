@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import weakref
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -115,7 +118,7 @@ class HashIndex:
         if 2 * (self.size + len(hashes)) > len(self._keys):
             keep = self._keys != 0
             old, values = self._keys[keep], self._values[keep]
-            bits = int(4 * (self.size + len(hashes))).bit_length()
+            bits = int(2 * (self.size + len(hashes))).bit_length()
             self._keys, self._values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
             self._put(old, values)
         self._put(hashes, numbers)
@@ -133,6 +136,18 @@ class HashIndex:
             hashes, numbers, slots = hashes[~won], numbers[~won], (slots[~won] + 1) & mask
 
 
+_caches: weakref.WeakSet[WordCache] = weakref.WeakSet()
+
+
+def release_words() -> None:
+    """Empty the caches of words that earlier stages have left in this process, and give the memory back."""
+    if any(cache.filled() for cache in _caches):
+        for cache in _caches:
+            cache.clear()
+        with contextlib.suppress(OSError, AttributeError):  # not every platform has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 class WordCache:
     """Lists of numbers for words, worked out once per process and word.
 
@@ -140,18 +155,22 @@ class WordCache:
     a 64-bit hash over its code points and length. The cache is emptied before it holds over ``limit`` numbers.
     """
 
-    def __init__(self, work: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 6_000_000):
+    def __init__(self, work: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_500_000):
         self._work, self._limit = work, limit
-        self._clear()
+        self.clear()
+        _caches.add(self)
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self._index, self._used = HashIndex(), 0
         self._pool, self._starts, self._lengths = np.zeros(1 << 16, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
+    def filled(self) -> bool:
+        return self._used > 0
+
     def look(self, hashes: np.ndarray, text_of: Callable[[int], str]) -> tuple[np.ndarray, np.ndarray]:
         """(start in the pool, length) for each word; ``text_of(i)`` is the text of word i."""
         if self._used > self._limit:
-            self._clear()
+            self.clear()
         found = self._index.find(hashes)
         missing = np.flatnonzero(found < 0)
         if len(missing):
@@ -190,11 +209,14 @@ def utf8(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    """``df`` batch by batch through ``work``, in the order of its rows."""
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str,
+    words: bool = False,
+) -> DataFrame:
+    """``df`` batch by batch through ``work``, in the order of its rows. ``words``: the work needs the caches of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not words:
+            release_words()
         for batch in batches:
             if batch.num_rows:
                 made = work(batch)

@@ -211,7 +211,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
             yield pa.RecordBatch.from_arrays([batch.column("i").slice(begin, end - begin), lists], ["i", "token_ids"])
 
     rows = docs.select(F.col(id_column).alias("i"), F.col(text_column).alias("t"))
-    return arrays.map_batches(rows, work, f"i {kind}, token_ids array<int>").withColumnRenamed("i", id_column)
+    return arrays.map_batches(rows, work, f"i {kind}, token_ids array<int>", words=True).withColumnRenamed("i", id_column)
 
 
 def decode(encoded: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:
@@ -256,4 +256,4 @@ def round_trip_digests(docs: DataFrame, path: str, id_column: str = "doc_id", te
 
     rows = docs.select(F.col(id_column).alias("i"), F.col(text_column).alias("t"))
     schema = f"i {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return arrays.map_batches(rows, work, schema).withColumnRenamed("i", id_column)
+    return arrays.map_batches(rows, work, schema, words=True).withColumnRenamed("i", id_column)

@@ -131,6 +131,7 @@ def streamed(lines: DataFrame, least_docs: int, keep_first: bool, partitions: in
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.release_words()
         part = TaskContext.get().partitionId()
         stream, held, size = _Stream(part, least_docs, keep_first), [], 0
         for batch in batches:
@@ -195,7 +196,8 @@ def keep_bitmaps(docs: DataFrame, path: str, least_docs: int = 1, keep_first: bo
         return pa.RecordBatch.from_arrays(columns, [*DOC, "n_dropped", "bitmap"])
 
     listed = going.groupBy(*DOC).agg(F.collect_set("pos").alias("gone"))
-    return arrays.map_batches(listed, bits, "doc_id long, text_hash long, n_dropped long, bitmap binary")
+    made = arrays.map_batches(listed, bits, "doc_id long, text_hash long, n_dropped long, bitmap binary")
+    return arrays.written(made, f"{path}/bitmaps")
 
 
 def stays(bitmap: bytes, lines: int) -> np.ndarray:

@@ -217,6 +217,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     rows = rows.select("band", F.get("sketch", F.col("band")).alias("value"), mark.alias("mark"), "n", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.release_words()
         held: list[_Rows] = []
         size = 0
         for batch in batches:
@@ -275,6 +276,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.release_words()
         known: OrderedDict[bytes, np.ndarray] = OrderedDict()
 
         def labels(node: bytes, text: str) -> np.ndarray:

@@ -150,7 +150,7 @@ def measured(docs: DataFrame, byte_path: str, piece_path: str, keep: list[str],
             yield pa.RecordBatch.from_arrays([*own, *made], ["doc", "lang", *types])
 
     schema = f"doc {rows.schema['doc'].dataType.simpleString()}, lang string, " + ", ".join(f"{c} {t}" for c, t in types.items())
-    return arrays.map_batches(rows, work, schema)
+    return arrays.map_batches(rows, work, schema, words=True)
 
 
 def judged(rows: DataFrame) -> DataFrame:

@@ -65,6 +65,7 @@ def anchored(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.release_words()
         number = TaskContext.get().partitionId() << 36
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -215,6 +216,7 @@ def indexed(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["num", "start", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.release_words()
         held, size = [], 0
         for batch in batches:
             if not batch.num_rows:
@@ -289,7 +291,8 @@ def repeated_spans(docs: DataFrame, path: str) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in DOC), pa.array(made, kind)], [*DOC, "spans"])
 
-    return arrays.map_batches(per_doc, merge, "doc_id long, text_hash long, spans array<struct<start:long,stop:long>>")
+    made = arrays.map_batches(per_doc, merge, "doc_id long, text_hash long, spans array<struct<start:long,stop:long>>")
+    return arrays.written(made, f"{path}/spans")
 
 
 def kept_bytes(text: str, spans: list[dict] | None) -> bytes:
