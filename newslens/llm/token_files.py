@@ -117,7 +117,7 @@ def _tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return arrays.map_batches(rows, work, "doc_id long, ids binary")
+    return arrays.map_batches(rows, work, "doc_id long, ids binary", words=True)
 
 
 def _counts(tokens: DataFrame, path: str) -> DataFrame:
@@ -177,7 +177,8 @@ def write(docs: DataFrame, vocabulary_path: str, path: str, end_id: int) -> Toke
             yield flush()
 
     files = max(1, -(-sum(counted.values()) // FILE_TOKENS))
-    ordered = tokens.repartitionByRange(files, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    # a hash of the ids splits what one id has; the ids themselves would be sampled to the driver
+    ordered = tokens.repartitionByRange(files, "doc_id", F.xxhash64("ids")).sortWithinPartitions("doc_id", "ids")
     made = ordered.withColumn("shard", F.spark_partition_id()).mapInArrow(blocks, COLUMNS)
-    made.write.option("compression", "none").parquet(f"{path}/blocks")
+    made.write.option("compression", "zstd").parquet(f"{path}/blocks")
     return TokenFiles(spark, path)
