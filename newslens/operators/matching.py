@@ -20,7 +20,8 @@ from newslens.functions.sentiment import Scorer, scored
 from newslens.functions.text import mention_context
 
 ANCHOR = 6
-TRY_EACH_UP_TO = 96
+#: Aliases that an expression tries one by one. Beyond that the literal grows large and the join takes over, with equal rows.
+TRY_EACH_UP_TO = 5_000
 SALTS = 32
 #: Size of the filter over leading characters, whatever the alias table holds. A fuller filter lets more stretches pass, never fewer.
 FILTER_BITS = 1 << 22
