@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newslens.functions.lookup import bounded_rows
 from newslens.llm import arrays
 from newslens.llm.bpe import vocabulary
 
@@ -29,6 +30,7 @@ MORE_FALLBACK = 0.15
 #: A group of fewer different texts has no median to compare with: only the plain counts decide there.
 LEAST_TEXTS = 30
 UNKNOWN = "und"
+SALTS = 64
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURES = ("tokens_per_word", "chars_per_token", "fallback_share", "token_entropy")
@@ -153,11 +155,19 @@ def measured(docs: DataFrame, byte_path: str, piece_path: str, keep: list[str],
     return arrays.map_batches(rows, work, schema, words=True)
 
 
+def _with_medians(rows: DataFrame, medians: DataFrame, keys: list[str]) -> DataFrame:
+    """Medians to all rows: broadcast where their number has been checked, else spread over salts, as one language can be most rows."""
+    small = bounded_rows(medians)
+    if small is not None:
+        return rows.join(F.broadcast(rows.sparkSession.createDataFrame(small, medians.schema)), keys, "left")
+    salted = medians.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.withColumn("salt", F.pmod("text_hash", F.lit(SALTS))).join(salted, [*keys, "salt"], "left").drop("salt")
+
+
 def judged(rows: DataFrame) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to a written table of measured rows.
 
-    The medians are a row for each language (and power of two of the tokens); they are joined to all rows by Spark's
-    own choice of join. Documents without words fail; a null language is a language of its own.
+    The medians are a row for each language (and power of two of the tokens). Documents without words fail; a null language is a language of its own.
     """
     rows = rows.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))))
     rows = rows.withColumn(
@@ -168,7 +178,7 @@ def judged(rows: DataFrame) -> DataFrame:
     median = lambda c: F.when(F.count(F.lit(1)) >= LEAST_TEXTS, F.percentile_approx(c, 0.5, 10_000)).alias(f"mid_{c}")
     by_lang = single.groupBy("lang").agg(*[median(c) for c in MEASURES if c != "token_entropy"])
     by_size = single.groupBy("lang", "size").agg(median("token_entropy"))
-    judged_rows = rows.join(by_lang, "lang", "left").join(by_size, ["lang", "size"], "left")
+    judged_rows = _with_medians(_with_medians(rows, by_lang, ["lang"]), by_size, ["lang", "size"])
     outside = [F.col("fallback_share") > F.col("mid_fallback_share") + MORE_FALLBACK]
     for name, low, high in BANDS:
         outside.append(~F.col(name).between(F.col(f"mid_{name}") * low, F.col(f"mid_{name}") * high))

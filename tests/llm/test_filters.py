@@ -37,7 +37,10 @@ def test_quality_counts_and_edges(spark):
     assert quality.quality(docs.limit(0), BYTES, PIECES, working_path(spark, "test-quality"), ["doc_id"]).count() == 0
 
 
-def test_quality_keeps_clean_documents_and_rejects_junk(spark):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_quality_keeps_clean_documents_and_rejects_junk(spark, bounded, monkeypatch):
+    if not bounded:
+        monkeypatch.setattr(quality, "bounded_rows", lambda df: None)
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.quality(docs, BYTES, PIECES, working_path(spark, "test-quality"), ["doc_id"]).select("doc.doc_id", "kept", "base_failed")
     table = collections.Counter((r.quality, r.base_failed, r.kept) for r in rows.join(labels, "doc_id").collect())
