@@ -11,6 +11,10 @@ from newslens.llm import arrays
 from newslens.llm.bpe import Vocabulary, vocabulary
 
 
+#: Ids that a process keeps for words it has met: the library is slow on single words, so more than elsewhere.
+LIBRARY_NUMBERS = 4_000_000
+
+
 @lru_cache(4)
 def _library_words(path: str) -> tuple[Vocabulary, arrays.WordCache]:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -24,7 +28,7 @@ def _library_words(path: str) -> tuple[Vocabulary, arrays.WordCache]:
         found = [encoding.ids for encoding in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         return np.array([n for ids in found for n in ids], np.int64), np.array([len(ids) for ids in found], np.int64)
 
-    return vocabulary(path), arrays.WordCache(work)
+    return vocabulary(path), arrays.WordCache(work, LIBRARY_NUMBERS)
 
 
 def library_encode(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
