@@ -2,8 +2,10 @@
 
 A document is the sequence of its shingles of five words, each labelled with how often it has occurred before. A sketch takes the few
 labelled shingles with the smallest hashes and hashes them in text order, so it agrees for documents that have the same parts in the
-same order. Documents that share a sketch are compared with one representative and with their neighbours in the order of all sketches, never all with all;
-which of these pairs are near duplicates is decided by alignment of the shingles. Classes are the connected components.
+same order. Documents that share a sketch with few others are compared all with all. In a larger bucket, or one that crosses a border of tasks, they
+are first compared with one representative and with their neighbours in the order of all sketches; where that leaves a bucket in several parts, its
+documents are joined by their rarest shingles (prefix and positional filter, Xiao et al. 2008), which loses no pair and meets no common template.
+Which of these pairs are near duplicates is decided by alignment of the shingles. Classes are the connected components.
 """
 
 from __future__ import annotations
@@ -24,9 +26,12 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: Sketches a document, shingles a sketch, and how many sketches two documents must share to be aligned. At a similarity of
 #: 0.8 a pair shares a sketch with probability 0.8 ** 3, so it is missed with a probability under 0.0002.
 SKETCHES, TAKEN, SHARED = 16, 3, 2
-#: Rows of a bucket that are held at once, and neighbours that each is compared with. Later rows of a bucket get a representative of
-#: their own, linked to the one before.
-HELD, NEIGHBOURS = 50_000, 3
+#: Buckets of up to so many rows are compared all with all, rows of larger ones with so many neighbours at first.
+WHOLE, NEIGHBOURS = 16, 3
+#: Rows that are held at once. Later rows of a bucket get a representative of their own, linked to the one before.
+HELD = 50_000
+#: Counters of shingles that put rare ones first. Any order gives the same pairs; shingles that share a counter only look more frequent.
+COUNTERS = 1 << 20
 
 _FACTORS = np.random.default_rng(20190711).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -175,15 +180,23 @@ class _Rows:
         heads[owner[::-1]] = hit[::-1]
         return heads
 
-    def pairs(self) -> pa.RecordBatch:
-        """(a, b, shared) of each row with its representative and with the rows just before it, where both can be near duplicates."""
-        _, _, nodes, sizes, marks = self.columns
+    def said(self, open_first: bool, open_last: bool) -> pa.RecordBatch:
+        """SAID: pairs to look at, and rows of buckets that are not compared all with all here, as (node, null, null, band, value).
+
+        ``open_first``, ``open_last``: the first or last bucket may have more rows elsewhere.
+        """
+        bands, values, nodes, sizes, marks = self.columns
         starts = self.starts()
-        bucket = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(self))))
+        counts = np.diff(np.append(starts, len(self)))
+        part = counts > WHOLE
+        part[0] |= open_first
+        part[-1] |= open_last
+        bucket = np.repeat(np.arange(len(starts)), counts)
         rows = np.arange(len(self))
         choices = [(rows, self.heads(starts)[bucket])]
-        for k in range(1, min(NEIGHBOURS, len(self) - 1) + 1):
-            near = rows[k:][bucket[k:] == bucket[:-k]]
+        whole = (counts <= WHOLE)[bucket]
+        for k in range(1, min(max(WHOLE - 1, NEIGHBOURS), len(self) - 1) + 1):
+            near = rows[k:][(bucket[k:] == bucket[:-k]) & (whole[k:] | (k <= NEIGHBOURS))]
             choices.append((near, near - k))
         found = []
         for one, two in choices:
@@ -195,8 +208,16 @@ class _Rows:
             up = (a1 > b1) | (a1 == b1) & (a2 > b2)
             found.append((np.where(up, one, two), np.where(up, two, one), shared))
         high, low, shared = (np.concatenate(column) for column in zip(*found, strict=True))
-        columns = [pa.array(_spelled(nodes[at]), pa.binary()) for at in (high, low)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(shared.astype(np.int32))], ["a", "b", "shared"])
+        left = np.flatnonzero(part[bucket])
+        n, m = len(high), len(left)
+        columns = [pa.array(_spelled(nodes[high]) + _spelled(nodes[left]), pa.binary()), pa.array(_spelled(nodes[low]) + [None] * m, pa.binary())]
+        columns.append(pa.concat_arrays([pa.array(shared.astype(np.int32)), pa.nulls(m, pa.int32())]))
+        columns.append(pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(bands[left].astype(np.int32))]))
+        columns.append(pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(values[left].astype(np.int64))]))
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "shared", "band", "value"])
+
+
+SAID = "a binary, b binary, shared int, band int, value long"
 
 
 def _spelled(nodes: np.ndarray) -> list[bytes]:
@@ -205,7 +226,7 @@ def _spelled(nodes: np.ndarray) -> list[bytes]:
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b, shared): pairs of different nodes to look at, a > b; a few for each row of a bucket.
+    """SAID rows: pairs of different nodes to look at, a > b, and the rows of buckets that these pairs do not settle.
 
     Buckets are ranges of one sort order, so a large bucket may be spread over tasks. Within a bucket rows are sorted by one byte of each sketch,
     from the band on: neighbours agree in many sketches.
@@ -219,7 +240,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays.release_words()
         held: list[_Rows] = []
-        size = 0
+        size, open_first = 0, True  # the first and the last bucket of a task may cross its border
         for batch in batches:
             if batch.num_rows:
                 held.append(_Rows.of(batch))
@@ -231,16 +252,78 @@ def candidates(nodes: DataFrame) -> DataFrame:
                     done, rest = rows.part(slice(0, last)), rows.part(slice(last, None))
                 else:  # one large bucket: its representative stays as a link to the rest
                     done, rest = rows, rows.part(rows.heads(np.zeros(1, np.int64)))
-                yield done.pairs()
-                held, size = [rest], len(rest)
+                yield done.said(open_first, not last)
+                held, size, open_first = [rest], len(rest), not last
         if size:
-            yield _Rows.joined(held).pairs()
+            yield _Rows.joined(held).said(open_first, True)
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["band", "value", "mark", "node"]
-    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = ranged.mapInArrow(run, "a binary, b binary, shared int")
-    return found.groupBy("a", "b").agg(F.max("shared").alias("shared"))
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, SAID)
+
+
+def unsettled(left: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root): nodes of the buckets (node, band, value) in ``left`` whose nodes are not all in one component."""
+    own = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = own.groupBy("band", "value").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one <> other")
+    return own.join(mixed.select("band", "value"), ["band", "value"], "left_semi").select("node", "root").distinct()
+
+
+def _label_counts(texts: DataFrame) -> np.ndarray:
+    """For each counter the power of two of how many labelled shingles fall on it: 0 for a single one. A fixed number of bytes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in arrays.column_texts(batch, "text"):
+                total += np.bincount((labelled(*shingles([text])) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        slots = np.flatnonzero(total)
+        for at in range(0, len(slots), 10_000):
+            part = slots[at : at + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["slot", "n"])
+
+    counted = texts.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.floor(F.log2(F.sum("n"))).cast("tinyint").alias("power"))
+    found = counted.toArrow()
+    powers = np.zeros(COUNTERS, np.uint8)
+    powers[found["slot"].to_numpy()] = found["power"].to_numpy()
+    return powers
+
+
+def by_rare_shingles(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): all pairs of (node, root, text) with different roots that can be near duplicates, a > b.
+
+    Two texts of a and b shingles, a <= b, need ``least`` = (a + b) * similarity / (1 + similarity) in common. So in any one order of all shingles the first
+    one in common has ``least`` - 1 more behind it in both texts: it is early in both. In the order of rarity few texts share an early one.
+    """
+    powers = _label_counts(texts)
+
+    def early(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, places, sizes, rows = [], [], [], []
+            for k, text in enumerate(arrays.column_texts(batch, "text")):
+                own = labelled(*shingles([text]))
+                power = powers[(own % np.uint64(COUNTERS)).astype(np.int64)]
+                order = np.lexsort((own, power))[: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1]
+                place = np.flatnonzero(power[order] > 0)  # a single one is in no other text
+                labels.append(own[order[place]].view(np.int64))
+                places.append(place)
+                sizes.append(np.full(len(place), len(own)))
+                rows.append(np.full(len(place), k))
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                columns = [pa.array(np.concatenate(labels)), batch.column("node").take(at), batch.column("root").take(at)]
+                columns += [pa.array(np.concatenate(c).astype(np.int32)) for c in (sizes, places)]
+                yield pa.RecordBatch.from_arrays(columns, ["label", "node", "root", "n", "place"])
+
+    rows = texts.select("node", "root", "text").mapInArrow(early, "label long, node binary, root binary, n int, place int")
+    share = similarity / (1 + similarity)
+    short = rows.where(F.col("n") - F.col("place") >= 2 * share * F.col("n") - 1e-9)
+    short, long = (part.select("label", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "place")]) for k, part in ((1, short), (2, rows)))
+    fit = (F.col("root_1") != F.col("root_2")) & (F.col("n_1") <= F.col("n_2")) & (F.col("n_1") >= similarity * F.col("n_2") - 1e-9)
+    behind = F.least(F.col("n_1") - F.col("place_1"), F.col("n_2") - F.col("place_2"))
+    fit &= behind >= share * (F.col("n_1") + F.col("n_2")) - 1e-9
+    pairs = short.join(long, (short["label"] == long["label"]) & fit)
+    return pairs.select(F.greatest("node_1", "node_2").alias("a"), F.least("node_1", "node_2").alias("b")).distinct()
 
 
 def aligned(one: np.ndarray, two: np.ndarray, similarity: float = SIMILARITY) -> float:
@@ -321,12 +404,14 @@ def classes(docs: DataFrame, path: str) -> DataFrame:
     name one unless all of a class are null; repeated rows are repeated. ``path``: folder in the shared storage. ``stays``: rows of the smallest id in the class.
 
     First every node is aligned with its representative of the smallest hash; what that joins needs no more alignments, and only
-    pairs between different components are aligned after that.
+    pairs between different components are aligned after that. Last come buckets that were not compared all with all and are still in several components.
     """
     rows = arrays.written(sketched(docs), f"{path}/sketches")
     nodes = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    pairs = arrays.written(candidates(nodes), f"{path}/pairs")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    said = arrays.written(candidates(nodes), f"{path}/said")
+    pairs = arrays.written(said.where("b is not null").groupBy("a", "b").agg(F.max("shared").alias("shared")), f"{path}/pairs")
+    left = said.where("b is null").select(F.col("a").alias("node"), "band", "value")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(left.select("node")).distinct()
     texts = arrays.written(_texts(docs, rows, wanted), f"{path}/texts")
     first = pairs.groupBy("a").agg(F.min("b").alias("b"))
     edges = arrays.written(verified(first, texts), f"{path}/edges-1")
@@ -338,6 +423,12 @@ def classes(docs: DataFrame, path: str) -> DataFrame:
     apart = apart.join(first, ["a", "b"], "left_anti")
     more = arrays.written(verified(apart, texts), f"{path}/edges-2")
     roots = components(edges.unionByName(more).select("u", "v"), f"{path}/components-2")
+    hot = arrays.written(unsettled(left, roots), f"{path}/unsettled")
+    if not hot.isEmpty():
+        rare = arrays.written(by_rare_shingles(texts.join(hot, "node")), f"{path}/rare")
+        last = arrays.written(verified(rare, texts), f"{path}/edges-3")
+        if not last.isEmpty():
+            roots = components(edges.unionByName(more).unionByName(last).select("u", "v"), f"{path}/components-3")
     own = rows.select("doc_id", "text_key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = own.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(_row_key()).alias("chosen"))
     return own.join(named, "root").select("doc_id", "text_key", "class_id", (_row_key() == F.col("chosen")).alias("stays"))

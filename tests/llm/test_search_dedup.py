@@ -97,6 +97,41 @@ def test_near_duplicates_lose_no_link(spark):
     assert all(got[i] == i for i in sets if i not in linked and sets[i])
 
 
+@pytest.mark.parametrize("held, parts", [(50_000, "8"), (700, "24")])
+def test_near_duplicates_behind_a_template(spark, held, parts, monkeypatch):
+    monkeypatch.setattr(near_dups, "HELD", held)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    texts = []
+    for size in (230, 250):  # of 300 shingles: any two are at 0.62 and 0.71
+        template = [word() for _ in range(size + 4)]
+        for _ in range(600):
+            own = [word() for _ in range(300 - size)]
+            twin = own[: 268 - size] + [word() for _ in range(32)]  # at 0.807
+            texts += [" ".join(template + own), " ".join(template + twin)]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    docs = spark.createDataFrame([(i, texts[k]) for i, k in enumerate(order)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r.doc_id: r.class_id for r in near_dups.classes(docs, working_path(spark, "test-near")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sets = [shingle_set(texts[k]) for k in order]
+    holders, common = collections.defaultdict(list), np.zeros((len(sets), len(sets)), np.int32)
+    for i, own in enumerate(sets):
+        for s in own:
+            holders[s].append(i)
+    for own in holders.values():
+        if len(own) > 1:
+            common[np.ix_(own, own)] += 1
+    sizes = np.array([len(own) for own in sets])
+    links = np.argwhere(np.triu(common / (sizes[:, None] + sizes - common) >= 0.8, 1)).tolist()
+    assert len(links) == 1200
+    assert got == {i: i for i in range(len(sets))} | {b: a for a, b in links}
+
+
 def brute_repeats(texts):
     data = [(t or "").encode() for t in texts]
     counts = collections.Counter(d[k : k + 200] for d in data for k in range(len(d) - 199))
