@@ -275,8 +275,10 @@ def _label_counts(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for text in arrays.column_texts(batch, "text"):
-                total += np.bincount((labelled(*shingles([text])) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            texts = arrays.column_texts(batch, "text")
+            for begin, end in arrays.blocks(texts):
+                slots, times = np.unique(labelled(*shingles(texts[begin:end])) % np.uint64(COUNTERS), return_counts=True)
+                total[slots.astype(np.int64)] += times
         slots = np.flatnonzero(total)
         for at in range(0, len(slots), 10_000):
             part = slots[at : at + 10_000]
