@@ -94,7 +94,8 @@ gpl-3.0 | gplv3 | gplv3
 isc | isc | isc license
 icu | icu | icu license
 ijg | jpeg | independent jpeg group license
-lgpl-2.0 | lesser | (?:gnu )?(?:library|lesser) general public license(?: version| v)? ?2(?: 0)?
+lgpl-2.0 | lesser | (?:gnu )?lesser general public license(?: version| v)? ?2(?: 0)?
+lgpl-2.0 | library | (?:gnu )?library general public license(?: version| v)? ?2(?: 0)?
 lgpl-2.1 | lesser | (?:gnu )?lesser general public license(?: version| v)? ?2 1
 lgpl-3.0 | lesser | (?:gnu )?lesser general public license(?: version| v)? ?3(?: 0)?
 lgpl | lesser | (?:gnu )?lesser general public license
@@ -185,7 +186,7 @@ public-domain | domain | (?:is|are|was|released|placed|dedicated) (?:hereby )?(?
 proprietary | rights | all rights reserved
 proprietary | proprietary | (?:proprietary and confidential|confidential and proprietary)
 proprietary | unauthorized | unauthorized (?:copying|reproduction|distribution|use) of this (?:file|software|document|work)
-proprietary | prior | without the (?:express )?(?:prior )?written (?:permission|consent) of
+proprietary | written | without the (?:express )?(?:prior )?written (?:permission|consent) of
 """
 
 #: Wording of a name: (pattern around it, priority, score).

@@ -6,7 +6,7 @@ import re
 import public_tokenizers
 import pytest
 
-from newslens.llm import html_text, license_scan, line_dedup, quality
+from newslens.llm import html_text, license_rules, license_scan, line_dedup, quality
 from newslens.llm.license_rules import rules
 from newslens.session import working_path
 
@@ -100,6 +100,40 @@ def test_license_rules_are_hundreds_and_sound():
     assert not [rule for rule in own if not re.search(rf"(?<![a-z0-9]){re.escape(rule.keyword)}", rule.pattern)]
 
 
+def samples(parsed):
+    """A phrase for every choice of alternatives and optional parts of a parsed pattern."""
+    made = [""]
+    for kind, value in parsed:
+        if str(kind) == "LITERAL":
+            own = [chr(value)]
+        elif str(kind) == "NOT_LITERAL":
+            own = ["x"]
+        elif str(kind) == "IN":
+            own = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value]
+        elif str(kind) == "SUBPATTERN":
+            own = samples(value[3])
+        elif str(kind) == "BRANCH":
+            own = [phrase for branch in value[1] for phrase in samples(branch)]
+        else:
+            assert str(kind) == "MAX_REPEAT"
+            own = ([""] if value[0] == 0 else []) + [max(value[0], 1) * phrase for phrase in samples(value[2])]
+        made = [before + after for before in made for after in own]
+    return made
+
+
+def test_license_rules_match_nothing_without_their_keyword():
+    for label, keyword, pattern in license_rules._table(license_rules.NAMES) + license_rules._table(license_rules.SIGNATURES):
+        phrases = samples(re._parser.parse(pattern))
+        assert all(re.fullmatch(pattern, phrase) for phrase in phrases)
+        assert not [(label, phrase) for phrase in phrases if f" {keyword}" not in f" {phrase} "]
+
+
+def test_license_scan_finds_every_alternative(spark):
+    texts = {1: "licensed under the GNU Library General Public License v2", 2: "not without the express written permission of the owner"}
+    got = {r.doc_id: r.labels for r in license_scan.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert "lgpl-2.0" in got[1] and "gpl-2.0" not in got[1].split(",") and got[2] == "proprietary"
+
+
 def brute_lines(rows, least, keep_first):
     key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(str.maketrans(license_scan.UPPER, license_scan.LOWER))
     docs = {}
