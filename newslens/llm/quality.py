@@ -3,7 +3,7 @@
 Two vocabularies measure a text: a byte-level BPE (tokens a word, entropy of the tokens) and a piece vocabulary with byte
 fallback (characters a token, share of tokens that are single bytes). A document is rejected if a measure lies outside the
 band around the median of its language; entropy is compared within the language and the number of tokens (by powers of two), as longer
-texts have more. Medians are taken over all different texts, so that copies of one text weigh as one.
+texts have more, with the nearest sizes where a size has too few texts. Medians are taken over all different texts, so that copies of one text weigh as one.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens.functions.lookup import bounded_rows
@@ -27,7 +27,8 @@ BANDS = (
 )
 #: The share of byte tokens may exceed the language's median by so much.
 MORE_FALLBACK = 0.15
-#: A group of fewer different texts has no median to compare with: only the plain counts decide there.
+#: A language of fewer different texts has no median to compare with: only the plain counts decide there. A size of a language
+#: (power of two of the tokens) with fewer takes in the nearest sizes until there are enough.
 LEAST_TEXTS = 30
 UNKNOWN = "und"
 SALTS = 64
@@ -164,6 +165,15 @@ def _with_medians(rows: DataFrame, medians: DataFrame, keys: list[str]) -> DataF
     return rows.withColumn("salt", F.pmod("text_hash", F.lit(SALTS))).join(salted, [*keys, "salt"], "left").drop("salt")
 
 
+def _pools(single: DataFrame) -> DataFrame:
+    """(lang, size, for_size): which sizes of a language make up the median of each size: itself, then the nearest until there are LEAST_TEXTS."""
+    sizes = single.groupBy("lang", "size").agg(F.count(F.lit(1)).alias("n"))
+    other = sizes.select(F.col("lang").alias("own_lang"), F.col("size").alias("for_size"))
+    pairs = sizes.join(other, F.col("lang") == F.col("own_lang")).withColumn("apart", F.abs(F.col("size") - F.col("for_size")))
+    nearer = Window.partitionBy("lang", "for_size").orderBy("apart").rangeBetween(Window.unboundedPreceding, -1)
+    return pairs.withColumn("nearer", F.coalesce(F.sum("n").over(nearer), F.lit(0))).where(F.col("nearer") < LEAST_TEXTS).select("lang", "size", "for_size")
+
+
 def judged(rows: DataFrame) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to a written table of measured rows.
 
@@ -177,7 +187,8 @@ def judged(rows: DataFrame) -> DataFrame:
     single = narrow.groupBy("text_hash", "lang").agg(*[F.first(c).alias(c) for c in ("size", *MEASURES)])
     median = lambda c: F.when(F.count(F.lit(1)) >= LEAST_TEXTS, F.percentile_approx(c, 0.5, 10_000)).alias(f"mid_{c}")
     by_lang = single.groupBy("lang").agg(*[median(c) for c in MEASURES if c != "token_entropy"])
-    by_size = single.groupBy("lang", "size").agg(median("token_entropy"))
+    pooled = _with_medians(single, _pools(single), ["lang", "size"])
+    by_size = pooled.groupBy("lang", F.col("for_size").alias("size")).agg(median("token_entropy"))
     judged_rows = _with_medians(_with_medians(rows, by_lang, ["lang"]), by_size, ["lang", "size"])
     outside = [F.col("fallback_share") > F.col("mid_fallback_share") + MORE_FALLBACK]
     for name, low, high in BANDS:

@@ -48,6 +48,18 @@ def test_quality_keeps_clean_documents_and_rejects_junk(spark, bounded, monkeypa
     assert table[0, False, True] <= 0.1 * sum(n for (q, _, _), n in table.items() if q == 0)
 
 
+@pytest.mark.parametrize("bounded", [True, False])
+def test_quality_of_rare_sizes_is_judged_by_the_nearest(spark, bounded, monkeypatch):
+    if not bounded:
+        monkeypatch.setattr(quality, "bounded_rows", lambda df: None)
+    made = [(k, 1000, 8.0) for k in range(40)] + [(40, 9000, 3.0), (41, 9000, 8.2), (42, 40_000, 3.0)]
+    names = [*quality.COUNTS, "n_tokens", "text_hash", *quality.MEASURES]
+    rows = [("en", 500, 2000, 0, 0, 0, n, k, 1.3, 4.0, 0.0, entropy) for k, n, entropy in made]
+    df = spark.createDataFrame(rows, "lang string, " + ", ".join(f"{c} {'double' if c in quality.MEASURES else 'long'}" for c in names))
+    kept = {r.text_hash: r.kept for r in quality.judged(df).collect()}
+    assert kept == {k: k not in (40, 42) for k in range(43)}
+
+
 def brute_scan(text):
     fold = str.maketrans(license_scan.UPPER, license_scan.LOWER)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(fold))
