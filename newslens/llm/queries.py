@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, html_text, license_scan, line_dedup, near_dups, packing, quality, repeats, token_files, top_k
+from newslens.llm import bpe, html_text, license_scan, line_dedup, near_dups, packing, quality, repeats, runs, token_files, top_k
 from newslens.session import working_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,6 +75,22 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return places.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def _with_periods(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents become periodic behind some word, as the hash of their id says; a null id changes nothing."""
+    h = crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op13_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of words of all documents."""
+    return runs.digests(runs.word_runs(table(spark, sf, "documents"), rewritten=_with_periods))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -86,6 +104,7 @@ QUERIES = {
         op8_near_dups,
         op9_line_dedup,
         op10_packing,
+        op13_runs,
     )
 }
 
