@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, html_text, license_scan, line_dedup, near_dups, packing, quality, repeats, runs, token_files, top_k
+from newslens.llm import bpe, hard_negatives, html_text, license_scan, line_dedup, near_dups, packing, quality, repeats, runs, token_files, top_k
 from newslens.session import working_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +75,13 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return places.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all; labels of every seventh are shifted by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    vectors = hard_negatives.whole_numbers(table(spark, sf, "embeddings"), 256, "vec_id", "embedding", label)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, working_path(spark, "hard-negatives"))
+
+
 def _with_periods(doc_id: object, words: list[bytes]) -> list[bytes]:
     """A tenth of the documents become periodic behind some word, as the hash of their id says; a null id changes nothing."""
     h = crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -104,6 +111,7 @@ QUERIES = {
         op8_near_dups,
         op9_line_dedup,
         op10_packing,
+        op11_hard_negatives,
         op13_runs,
     )
 }
@@ -139,4 +147,28 @@ STATEMENTS: dict[str, str] = {
         from lines left join gone on lines.line_key = gone.line_key
         group by doc_id
     """,
+    "op11_hard_negatives": """
+        with numbers as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same_label,
+                cast(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) as bigint) as score
+            from numbers a join numbers c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id
+        ),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where same_label
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        )
+        select p.anchor_id, p.positive_id,
+            cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as integer) as rank,
+            s.vec_id as negative_id, p.positive_score, s.score as negative_score
+        from positives p join scored s on s.anchor_id = p.anchor_id and not s.same_label
+            and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score
+        qualify rank <= 5
+    """,
 }
