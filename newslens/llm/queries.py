@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, hard_negatives, html_text, license_scan, line_dedup, near_dups, packing, quality, repeats, runs, token_files, top_k
+from newslens.llm import bpe, hard_negatives, html_text, language_mix, license_scan, line_dedup, near_dups, packing, quality, repeats, runs, token_files, top_k
 from newslens.session import working_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,6 +82,14 @@ def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, working_path(spark, "hard-negatives"))
 
 
+def op12_languages(spark: SparkSession, sf: str) -> DataFrame:
+    """Languages of all documents, learned from four fifths of them; null ids are held out."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
+    found = language_mix.mixtures(docs, language_mix.fit(docs, ~held_out), ["doc_id"])
+    return found.select("doc.doc_id", "lang_pred", "score").withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def _with_periods(doc_id: object, words: list[bytes]) -> list[bytes]:
     """A tenth of the documents become periodic behind some word, as the hash of their id says; a null id changes nothing."""
     h = crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -112,6 +120,7 @@ QUERIES = {
         op9_line_dedup,
         op10_packing,
         op11_hard_negatives,
+        op12_languages,
         op13_runs,
     )
 }
