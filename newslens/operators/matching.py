@@ -1,27 +1,32 @@
 """Which companies a text names.
 
-A text matches an alias when it contains it. Two plans give a text the same array of alias rows, and all that follows is shared:
+A text matches an alias when it contains it. Three plans give a text the same array of alias rows, and all that follows is shared:
 
-* a short alias table travels to the texts (``AliasIndex``): every alias is tried in an expression, with no join and no shuffle;
+* a handful of aliases is tried one by one in an expression;
+* a table that passes a check of its rows and bytes travels to the texts as an index of all its aliases (``functions.patterns``), past which whole
+  batches of texts go; the cost does not grow with the aliases, and there is no join and no shuffle;
 * an alias table of any size is matched by a join on the leading characters of the aliases (``joined_hits``), where no side
   is broadcast. A text only sends out stretches that pass a filter of fixed size over those characters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.functions.lookup import bound, literal
+from newslens.functions.lookup import MAX_LITERAL_BYTES, MAX_LITERAL_ROWS, bound, literal
+from newslens.functions.patterns import Patterns, spread, text_bytes
 from newslens.functions.sentiment import Scorer, scored
 from newslens.functions.text import mention_context
 
 ANCHOR = 6
-#: Aliases that an expression tries one by one. Beyond that the literal grows large and the join takes over, with equal rows.
-TRY_EACH_UP_TO = 5_000
+#: Aliases that an expression tries one by one, and those that travel to the texts at all, in so many bytes at most. Rows are equal on all sides.
+TRY_EACH_UP_TO, INDEX_UP_TO, INDEX_BYTES = 64, MAX_LITERAL_ROWS, MAX_LITERAL_BYTES
 SALTS = 32
 #: Size of the filter over leading characters, whatever the alias table holds. A fuller filter lets more stretches pass, never fewer.
 FILTER_BITS = 1 << 22
@@ -74,22 +79,60 @@ def ilike_contains(text: Column, hit: Column) -> Column:
 
 @dataclass(frozen=True)
 class AliasIndex:
-    """A short alias table as one literal."""
+    """An alias table that travels to the texts: rows by company and alias."""
 
-    entries: Column
+    entries: list[dict]
 
     @classmethod
-    def load(cls, rows: DataFrame, up_to: int = TRY_EACH_UP_TO) -> "AliasIndex | None":
-        """The index of an alias table, or None if it has more rows than an expression should try."""
-        fetched = rows.select("company_id", "alias", "needle").limit(up_to + 1).collect()
-        if len(fetched) > up_to:
+    def load(cls, rows: DataFrame, up_to: int = INDEX_UP_TO) -> "AliasIndex | None":
+        """The index of an alias table, or None if it has more rows than ``up_to`` or too many bytes. Fetches one row more at most."""
+        fetched = [row.asDict() for row in rows.select("company_id", "alias", "needle").limit(up_to + 1).collect()]
+        size = sum(len(row["alias"].encode()) + len(row["needle"].encode()) for row in fetched)
+        if len(fetched) > up_to or size > INDEX_BYTES:
             return None
-        entries = sorted((row.asDict() for row in fetched), key=lambda e: (e["company_id"], e["alias"]))
-        return cls(literal(entries, HIT_ARRAY))
+        return cls(sorted(fetched, key=lambda e: (e["company_id"], e["alias"])))
 
     def hits(self, lowered: Column) -> Column:
-        """Array of the alias rows whose needle is part of a lower-cased text, by company and alias."""
-        return bound(lowered, lambda text: F.filter(self.entries, lambda hit: text.contains(hit["needle"])))
+        """Array of the alias rows whose needle is part of a lower-cased text, by company and alias; a null text has none."""
+        return self._each(lowered) if len(self.entries) <= TRY_EACH_UP_TO else self._batchwise(lowered)
+
+    def _each(self, lowered: Column) -> Column:
+        entries = literal(self.entries, HIT_ARRAY)
+        return bound(lowered, lambda text: F.filter(entries, lambda hit: text.contains(hit["needle"])))
+
+    def _batchwise(self, lowered: Column) -> Column:
+        needles = sorted({e["needle"].encode() for e in self.entries} - {b""})
+        number = {needle: k for k, needle in enumerate(needles)}
+        owners = np.array([number.get(e["needle"].encode(), -1) for e in self.entries])  # -1: part of every text
+        by_needle = np.argsort(owners, kind="stable")
+        begins = np.searchsorted(owners[by_needle], np.arange(-1, len(needles) + 1))
+        kinds = pa.struct([("company_id", pa.int64()), ("alias", pa.string()), ("needle", pa.string())])
+        shared = SparkSession.active().sparkContext.broadcast((Patterns(needles), by_needle, begins, pa.array(self.entries, kinds)))
+
+        def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            patterns, order, first, entries = shared.value
+            for texts in batches:
+                data, offsets = text_bytes(texts)
+                if not patterns.tables:  # the first texts of a task are the sample that anchors are chosen by
+                    patterns.anchored(data)
+                text, needle = patterns.found(data, offsets)
+                text = np.concatenate([np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False)), text])
+                needle = np.concatenate([np.full(len(text) - len(needle), -1), needle])
+                counts = first[needle + 2] - first[needle + 1]
+                text, entry = np.repeat(text, counts), order[spread(first[needle + 1], counts)]
+                by_text = np.lexsort((entry, text))
+                bounds = np.searchsorted(text[by_text], np.arange(len(texts) + 1)).astype(np.int32)
+                yield pa.ListArray.from_arrays(pa.array(bounds), entries.take(pa.array(entry[by_text])))
+
+        # not deterministic in name: else a filter above it would make Spark search every text twice
+        return F.arrow_udf(search, HIT_ARRAY).asNondeterministic()(lowered)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """A name for a scratch column that is none of ``columns``."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
 
 
 def leading(text: Column, length: int) -> Column:
@@ -116,8 +159,8 @@ def anchor_filter(anchored: DataFrame) -> Callable[[Column], Column]:
     return passes
 
 
-def joined_hits(texts: DataFrame, lowered: Column, rows: DataFrame) -> DataFrame:
-    """``texts`` with the array ``_hits`` of the alias rows whose needle they contain, for an alias table of any size; texts without
+def joined_hits(texts: DataFrame, lowered: Column, rows: DataFrame, name: str = "_hits") -> DataFrame:
+    """``texts`` with the array ``name`` of the alias rows whose needle they contain, for an alias table of any size; texts without
     any fall out.
 
     Texts and needles meet on the first characters of the needle. That join sees hashes of the texts and characters only;
@@ -127,34 +170,34 @@ def joined_hits(texts: DataFrame, lowered: Column, rows: DataFrame) -> DataFrame
     """
     anchored = rows.withColumn("_anchor", F.left("needle", F.lit(ANCHOR)))
     lengths = sorted(row[0] for row in anchored.select(F.length("_anchor")).distinct().collect())
-    parts = [F.array_distinct(leading(F.col("_lowered"), n)) if n else F.array(F.lit("")) for n in lengths]
+    parts = [F.array_distinct(leading(F.col("lowered"), n)) if n else F.array(F.lit("")) for n in lengths]
     if not parts:
         parts = [F.array().cast("array<string>")]
     passes = anchor_filter(anchored)
-    key = F.struct(F.xxhash64(F.lit(0), "_lowered").alias("a"), F.xxhash64(F.lit(1), "_lowered").alias("b"))
-    keyed = texts.withColumn("_lowered", lowered).withColumn("_key", key)
+    key = F.struct(F.xxhash64(F.lit(0), "lowered").alias("a"), F.xxhash64(F.lit(1), "lowered").alias("b"))
+    keyed = texts.select(F.struct(*[F.col(f"`{c}`") for c in texts.columns]).alias("row"), lowered.alias("lowered")).withColumn("key", key)
     grams = keyed.select(
-        "_key", F.explode(F.filter(F.concat(*parts), passes)).alias("_anchor"), F.pmod("_key.a", F.lit(SALTS)).alias("_salt")
+        "key", F.explode(F.filter(F.concat(*parts), passes)).alias("_anchor"), F.pmod("key.a", F.lit(SALTS)).alias("_salt")
     )
     counted = anchored.groupBy("company_id", "alias", "needle", "_anchor").agg(F.count(F.lit(1)).cast("int").alias("times"))
     salted = counted.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
     hit = F.struct("company_id", "alias", "needle", "times")
-    found = grams.join(salted, ["_anchor", "_salt"]).groupBy("_key").agg(F.array_sort(F.collect_set(hit)).alias("_hits"))
+    found = grams.join(salted, ["_anchor", "_salt"]).groupBy("key").agg(F.array_sort(F.collect_set(hit)).alias("hits"))
     contained = F.flatten(
         F.transform(
-            F.filter("_hits", lambda hit: F.col("_lowered").contains(hit["needle"])),
+            F.filter("hits", lambda hit: F.col("lowered").contains(hit["needle"])),
             lambda hit: F.array_repeat(
                 F.struct(*[hit[c].alias(c) for c in ("company_id", "alias", "needle")]), hit["times"]
             ),
         )
     )
-    return keyed.join(found, "_key").withColumn("_hits", contained).drop("_lowered", "_key")
+    return keyed.join(found, "key").select(*[F.col("row")[c].alias(c) for c in texts.columns], contained.alias(name))
 
 
-def with_hits(texts: DataFrame, lowered: Column, rows: DataFrame, up_to: int = TRY_EACH_UP_TO) -> DataFrame:
-    """``texts`` with ``_hits``, by the plan that fits the alias table; texts without hits may fall out."""
+def with_hits(texts: DataFrame, lowered: Column, rows: DataFrame, name: str, up_to: int = INDEX_UP_TO) -> DataFrame:
+    """``texts`` with the array ``name`` of alias rows, by the plan that fits the alias table; texts without hits may fall out."""
     index = AliasIndex.load(rows, up_to)
-    return texts.withColumn("_hits", index.hits(lowered)) if index else joined_hits(texts, lowered, rows)
+    return texts.withColumn(name, index.hits(lowered)) if index else joined_hits(texts, lowered, rows, name)
 
 
 # --- realtime matcher -------------------------------------------------------------------------------------------------
@@ -162,26 +205,27 @@ def with_hits(texts: DataFrame, lowered: Column, rows: DataFrame, up_to: int = T
 
 def match_substring(
     articles: DataFrame, aliases: DataFrame, *, text: str = "article_text", per_alias_hit: bool = True,
-    scorer: "Scorer | DataFrame | None" = None, up_to: int = TRY_EACH_UP_TO,
+    scorer: "Scorer | DataFrame | None" = None, up_to: int = INDEX_UP_TO,
 ) -> DataFrame:
     """Articles joined to companies by ``alias_norm`` being part of the lower-cased text.
 
     One row per alias that hits, as the append tables have it; with ``per_alias_hit=False`` one row per (article,
     company). With a ``scorer`` (a function of the text, or a word list of any size) the rows get ``sentiment_score``; each matched
-    article is scored once, an unmatched one never. Alias tables of up to ``up_to`` rows are tried in an expression.
+    article is scored once, an unmatched one never. Alias tables of up to ``up_to`` rows travel to the texts.
     """
     columns = [F.col(f"`{name}`") for name in articles.columns]
-    found = with_hits(articles, F.lower(text), substring_rows(aliases), up_to)
-    companies = F.transform("_hits", lambda hit: hit["company_id"])
-    matched = found.select(*columns, (companies if per_alias_hit else F.array_distinct(companies)).alias("_companies"))
+    name = unused("_companies", articles.columns)
+    found = with_hits(articles, F.lower(text), substring_rows(aliases), name, up_to)
+    companies = F.transform(name, lambda hit: hit["company_id"])
+    matched = found.select(*columns, (companies if per_alias_hit else F.array_distinct(companies)).alias(name))
     if isinstance(scorer, DataFrame):
-        matched = scored(matched.where(F.size("_companies") > 0), text, scorer, "sentiment_score")
+        matched = scored(matched.where(F.size(name) > 0), text, scorer, "sentiment_score")
     elif scorer:
-        matched = matched.withColumn("sentiment_score", F.when(F.size("_companies") > 0, scorer(F.col(text))))
+        matched = matched.withColumn("sentiment_score", F.when(F.size(name) > 0, scorer(F.col(text))))
     # explode_outer and a filter behind it: a plain explode would evaluate the match a second time as a filter
     return matched.select(
-        *[name for name in matched.columns if name != "_companies"],
-        F.explode_outer("_companies").alias("company_id"),
+        *[F.col(f"`{c}`") for c in matched.columns if c != name],
+        F.explode_outer(name).alias("company_id"),
     ).where(F.col("company_id").isNotNull())
 
 
@@ -213,9 +257,10 @@ def _ranked(company: Column, rank: Column, alias: Column) -> Column:
 
 
 def _with_verified_hits(articles: DataFrame, dim_aliases: DataFrame, up_to: int) -> DataFrame:
-    """Articles with ``_ranked``: ranked hits, each alias checked as a pattern on each field by itself."""
-    found = with_hits(articles, _searched(_lowered_fields()), ilike_rows(dim_aliases), up_to)
-    both = F.struct(_lowered_fields().alias("fields"), F.col("_hits").alias("hits"))
+    """(article_id, title, description, content) with ``ranked``: ranked hits, each alias checked as a pattern on each field by itself."""
+    own = articles.select("article_id", "title", "description", "content")
+    found = with_hits(own, _searched(_lowered_fields()), ilike_rows(dim_aliases), "hits", up_to)
+    both = F.struct(_lowered_fields().alias("fields"), F.col("hits"))
 
     def ranked(both: Column) -> Column:
         hits = F.transform(
@@ -223,7 +268,7 @@ def _with_verified_hits(articles: DataFrame, dim_aliases: DataFrame, up_to: int)
         )
         return F.filter(hits, lambda hit: hit["rank"].isNotNull())
 
-    return found.select(*articles.columns, bound(both, ranked).alias("_ranked"))
+    return found.select(*own.columns, bound(both, ranked).alias("ranked"))
 
 
 def _mentions(matched: DataFrame) -> DataFrame:
@@ -242,14 +287,14 @@ def _exploded(articles: DataFrame, picked) -> DataFrame:
     """One row per element of ``picked(hits)``, an array of (company_id, matched_text), of the articles that have any."""
     context = mention_context("title", "description", "content").alias("mention_context")
     return (
-        articles.select("article_id", context, picked.alias("_picked"))
-        .select("article_id", "mention_context", F.explode_outer("_picked").alias("_one"))
-        .where(F.col("_one").isNotNull())
-        .select("article_id", "mention_context", "_one.company_id", "_one.matched_text")
+        articles.select("article_id", context, picked.alias("picked"))
+        .select("article_id", "mention_context", F.explode_outer("picked").alias("one"))
+        .where(F.col("one").isNotNull())
+        .select("article_id", "mention_context", "one.company_id", "one.matched_text")
     )
 
 
-def match_best_alias(articles: DataFrame, dim_aliases: DataFrame, up_to: int = TRY_EACH_UP_TO) -> DataFrame:
+def match_best_alias(articles: DataFrame, dim_aliases: DataFrame, up_to: int = INDEX_UP_TO) -> DataFrame:
     """One mention per article and company with its best alias: title before description before content, then the
     longer alias, then the alias that sorts first. Every row of ``articles`` stands for itself."""
 
@@ -263,10 +308,10 @@ def match_best_alias(articles: DataFrame, dim_aliases: DataFrame, up_to: int = T
         )
 
     found = _with_verified_hits(articles, dim_aliases, up_to)
-    return _mentions(_exploded(found, bound(F.sort_array("_ranked"), best)))
+    return _mentions(_exploded(found, bound(F.sort_array("ranked"), best)))
 
 
-def match_alias_list(articles: DataFrame, dim_aliases: DataFrame, up_to: int = TRY_EACH_UP_TO) -> DataFrame:
+def match_alias_list(articles: DataFrame, dim_aliases: DataFrame, up_to: int = INDEX_UP_TO) -> DataFrame:
     """One mention per article and company that lists all aliases found, distinct and in order."""
 
     def listed(hits: Column) -> Column:
@@ -279,4 +324,4 @@ def match_alias_list(articles: DataFrame, dim_aliases: DataFrame, up_to: int = T
         return F.transform(companies, lambda c: F.struct(c.alias("company_id"), aliases(c).alias("matched_text")))
 
     found = _with_verified_hits(articles, dim_aliases, up_to)
-    return _mentions(_exploded(found, bound(F.col("_ranked"), listed)))
+    return _mentions(_exploded(found, bound(F.col("ranked"), listed)))

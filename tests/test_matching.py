@@ -3,16 +3,24 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import tuples
 
+from newslens.functions.patterns import Patterns, text_bytes
 from newslens.operators import matching
 from newslens.operators.dimensions import ALIASES
 
 ARTICLES = "article_id bigint, title string, description string, content string"
 
 
-PLANS = pytest.mark.parametrize("up_to", [10**6, 0], ids=["each", "join"])
+@pytest.fixture(params=["each", "index", "join"])
+def up_to(request, monkeypatch):
+    """Each of the three plans."""
+    if request.param == "index":
+        monkeypatch.setattr(matching, "TRY_EACH_UP_TO", 0)
+    return 0 if request.param == "join" else 10**5
 
 
 def sample(seed=7, count=60):
@@ -33,7 +41,6 @@ def like(text, alias):
     return re.search(pattern, (text or "").lower(), re.S) is not None
 
 
-@PLANS
 def test_substring(rows, up_to):
     articles, aliases = sample()
     texts = [(i, " ".join(x or "" for x in fields).strip()) for i, *fields in articles]
@@ -62,7 +69,6 @@ def found_aliases(articles, aliases):
     return hits
 
 
-@PLANS
 def test_best_alias(rows, up_to):
     articles, aliases = sample(11)
     got = matching.match_best_alias(rows(articles, ARTICLES), rows(aliases, "company_id bigint, alias string"), up_to)
@@ -74,7 +80,6 @@ def test_best_alias(rows, up_to):
     assert got.count() == len(expected)
 
 
-@PLANS
 def test_alias_list(rows, up_to):
     articles, aliases = sample(13)
     got = matching.match_alias_list(rows(articles, ARTICLES), rows(aliases, "company_id bigint, alias string"), up_to)
@@ -111,11 +116,49 @@ def test_match_is_scored_once_and_only_if_matched(rows):
     ]
 
 
-def test_no_aliases_no_rows(rows):
+def test_no_aliases_no_rows(rows, up_to):
     aliases = matching.load_aliases(rows([], "company_id bigint, alias string"))
-    text = rows([(1, "x y")], "event_id bigint, article_text string")
-    for plan in ("each", "join"):
-            assert matching.match_substring(text, aliases).count() == 0
+    text = rows([(1, "x y"), (2, None)], "event_id bigint, article_text string")
+    assert matching.match_substring(text, aliases, up_to=up_to).count() == 0
+
+
+def test_scratch_columns_do_not_clash(rows, up_to):
+    text = rows([(1, "x y", "h", "k")], "event_id bigint, article_text string, _hits string, _companies string")
+    aliases = matching.load_aliases(rows([(1, "X"), (None, "y")], "company_id bigint, alias string"))
+    assert tuples(matching.match_substring(text, aliases, up_to=up_to)) == [(1, "x y", "h", "k", 1)]
+
+
+def test_null_texts_and_long_alias_lists(rows, up_to):
+    data = [(1, None), (2, ""), (3, "nine lives of a cat"), (4, "nine lives of a catalogue " * 3000)]
+    names = [(k, f"alias number {k}") for k in range(300)] + [(7, "lives of a catalogue n"), (8, "t"), (9, "CAT"), (9, "cat"), (None, "t")]
+    aliases = matching.load_aliases(rows(names, "company_id bigint, alias string"))
+    got = matching.match_substring(rows(data, "event_id bigint, article_text string"), aliases, up_to=up_to)
+    assert sorted(tuples(got.select("event_id", "company_id"))) == [(3, 8), (3, 9), (3, 9), (4, 7), (4, 8), (4, 9), (4, 9)]
+
+
+def test_a_table_of_too_many_bytes_does_not_travel(rows, monkeypatch):
+    aliases = matching.substring_rows(matching.load_aliases(rows([(1, "x" * 50), (2, "y")], "company_id bigint, alias string")))
+    assert matching.AliasIndex.load(aliases) is not None
+    monkeypatch.setattr(matching, "INDEX_BYTES", 60)
+    assert matching.AliasIndex.load(aliases) is None
+
+
+def test_patterns_against_plain_python():
+    rng = random.Random(2)
+    word = lambda top: "".join(rng.choice("abcé語") for _ in range(rng.randint(1, top)))
+    texts = [word(60) for _ in range(150)] + ["", "a" * 30, None, "語" * 9]
+    patterns = sorted({word(14).encode() for _ in range(400)} | {b"a", b"aaaaaaaaaaaaaaaaaaaaaaaaa"})
+    array = pa.array(["ab", *texts])[1:]  # a slice: offsets do not begin at zero
+    for sample in (b"", "語abc".encode() * 50):
+        index = Patterns(patterns).anchored(np.frombuffer(sample, np.uint8))
+        got = list(zip(*(column.tolist() for column in index.found(*text_bytes(array))), strict=True))
+        assert got == [(t, p) for t, text in enumerate(texts) for p, pattern in enumerate(patterns) if text and pattern in text.encode()]
+
+
+def test_the_rarest_stretch_is_the_anchor():
+    index = Patterns([b"international xq", b"international zz"]).anchored(np.frombuffer(b"international news " * 99, np.uint8))
+    (width, _, anchors, _, _, _, _) = index.tables[0]
+    assert width == 8 and all(b"x" in int(a).to_bytes(8, "little") or b"z" in int(a).to_bytes(8, "little") for a in anchors)
 
 
 def test_two_companies_per_seed_alias():
