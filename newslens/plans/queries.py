@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.functions import clock, sentiment, text
-from newslens.operators import dedup, dimensions, marts, matching, mentions, quality, tiles, upsert
+from newslens.operators import dedup, dimensions, late, marts, matching, mentions, quality, tiles, upsert
 from newslens.plans import batch, refresh
 from newslens.plans.corpus import as_of, corpus, dim_aliases, ntz, table, word_list
 from newslens.schemas import EVENT_FIELDS
@@ -513,6 +513,20 @@ def latest_url_company(spark, sf):
     return corpus(spark, sf).unified
 
 
+@query
+def latest_event_company_stored(spark, sf):
+    """The same rows from a stored base table, by late materialisation."""
+    return late.latest_event_company(late.stored(corpus(spark, sf).base))
+
+
+@query
+def latest_url_company_stored(spark, sf):
+    """The unified table from the stored rows of both paths, by late materialisation."""
+    own = corpus(spark, sf)
+    base = late.latest_event_company(late.stored(own.base))
+    return late.latest_url_company(late.stored(mentions.unify_paths(own.batch_side, mentions.realtime_mentions(base))))
+
+
 @query
 def refresh_incremental(spark, sf):
     """The unified table by a refresh up to marks in every source table, then one from what came after them."""

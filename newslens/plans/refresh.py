@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newslens.operators import late
 from newslens.operators.dedup import article_key, latest_event_company, latest_url_company
 from newslens.operators.marts import article_volume, daily_trend, sentiment_examples, sentiment_summary, top_sources
 from newslens.operators.mentions import (
@@ -37,8 +38,11 @@ def unify(
 
 
 def refresh(rows: DataFrame, companies: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Rebuild the unified table from the rows of both paths, and the five reports from it."""
-    unified = rebuild(latest_url_company(rows), f"{root}/unified")
+    """Rebuild the unified table from the rows of both paths, and the five reports from it.
+
+    The rows are written once; which of them stay is found from their narrow columns, so texts are in no window and no shuffle after that.
+    """
+    unified = rebuild(late.latest_url_company(late.stored(rows)), f"{root}/unified")
     return {"unified": unified, **reports(unified, companies, root)}
 
 
