@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newslens.functions import clock, sentiment, text
@@ -13,7 +13,7 @@ from newslens.plans import batch, refresh
 from newslens.plans.corpus import as_of, corpus, dim_aliases, ntz, table, word_list
 from newslens.schemas import EVENT_FIELDS
 from newslens.session import working_path
-from newslens.sources import envelope, providers, staged
+from newslens.sources import envelope, event_log, providers, staged
 from newslens.sources.tables import publish, rebuild
 from newslens.sources.tables import truncate_reload as truncate_reload_table
 from newslens.streaming import pipeline, sink
@@ -143,18 +143,46 @@ def _wire_events(spark, sf) -> DataFrame:
     )
 
 
+def _messages(spark, sf) -> DataFrame:
+    """Wire events as messages, each arrived a minute after it was ingested."""
+    sent = envelope.event_envelope(_wire_events(spark, sf).withColumn("language", F.nullif("language", F.lit("es"))))
+    return sent.withColumn("timestamp", F.to_timestamp(F.get_json_object("value", "$.event_ingested_at")) + F.expr("INTERVAL 1 MINUTE"))
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    """All columns of parsed messages, the arrival in UTC."""
+    return envelope.parse_envelope(messages).withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz"))
+
+
 @query
 def event_envelope(spark, sf):
-    sent = envelope.event_envelope(_wire_events(spark, sf))
-    return sent.select("key", F.get_json_object("value", "$.url").alias("url"), F.get_json_object("value", "$.title").alias("title"))
+    """Key and all fields of the value; a null is no field of the JSON text."""
+    sent = _messages(spark, sf)
+    fields = [F.get_json_object("value", f"$.{name}").alias(name) for name in EVENT_FIELDS]
+    return sent.select("key", *fields)
 
 
 @query
 def parse_envelope(spark, sf):
-    messages = envelope.event_envelope(_wire_events(spark, sf)).select(
-        F.col("value").cast("binary").alias("value"), F.current_timestamp().alias("timestamp")
+    return _parsed(_messages(spark, sf).withColumn("value", F.col("value").cast("binary")))
+
+
+@query
+def src_article_stream(spark, sf):
+    """Messages appended to the log in two turns and read as a stream that is stopped between them: each arrives once."""
+    log, out, checkpoint = (working_path(spark, name) for name in ("log", "received", "checkpoint"))
+    messages = _messages(spark, sf)
+    for turn in (F.get_json_object("value", "$.language") == "en", F.coalesce(F.get_json_object("value", "$.language"), F.lit("")) != "en"):
+        event_log.append(messages.where(turn), log)
+        received = event_log.log_stream(spark, log, "earliest").writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        received.trigger(availableNow=True).start(out).awaitTermination()
+    received = spark.read.schema(event_log.SCHEMA).parquet(out)
+    per_partition = Window.partitionBy("partition")
+    gapless = (F.count("*").over(per_partition) == F.max("offset").over(per_partition) + 1) & (F.min("offset").over(per_partition) == 0)
+    placed = received.select("value", "timestamp", F.struct("key", gapless.alias("gapless")).alias("place"))
+    return _parsed(placed).join(
+        placed.select(F.get_json_object(F.col("value").cast("string"), "$.event_id").alias("event_id"), "place.*"), "event_id"
     )
-    return envelope.parse_envelope(messages).select("event_id", "provider", "url", "title", "description", "content")
 
 
 @query
