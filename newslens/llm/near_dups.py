@@ -3,8 +3,10 @@
 A document is the sequence of its shingles of five words, each labelled with how often it has occurred before. A sketch takes the few
 labelled shingles with the smallest hashes and hashes them in text order, so it agrees for documents that have the same parts in the
 same order. Documents that share a sketch with few others are compared all with all. In a larger bucket, or one that crosses a border of tasks, they
-are first compared with one representative and with their neighbours in the order of all sketches; where that leaves a bucket in several parts, its
-documents are joined by their rarest shingles (prefix and positional filter, Xiao et al. 2008), which loses no pair and meets no common template.
+are first compared with one representative and with their neighbours in the order of all sketches. Where that leaves a bucket in several parts, neighbours in
+several orders of long signatures are compared that are not yet in one part, each document with a few others, so most parts of a group of copies meet before anything is
+paired within it. What is still apart is joined by its rarest shingles (prefix and positional filter, Xiao et al. 2008), which loses no pair and meets no
+common template.
 Which of these pairs are near duplicates is decided by alignment of the shingles. Classes are the connected components.
 """
 
@@ -32,6 +34,9 @@ WHOLE, NEIGHBOURS = 16, 3
 HELD = 50_000
 #: Counters of shingles that put rare ones first. Any order gives the same pairs; shingles that share a counter only look more frequent.
 COUNTERS = 1 << 20
+#: Orders of signatures and the bytes that each is sorted by, rows before a row that are looked at, how many of them are aligned with it, and the
+#: share of equal bytes that this takes (at a similarity of 0.8 that of 144 bytes lies below it once in ten times).
+ORDERS, SIGNS, WINDOW, BESIDE, LIKELY = 6, 24, 32, 2, 0.76
 
 _FACTORS = np.random.default_rng(20190711).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -269,6 +274,81 @@ def unsettled(left: DataFrame, roots: DataFrame) -> DataFrame:
     return own.join(mixed.select("band", "value"), ["band", "value"], "left_semi").select("node", "root").distinct()
 
 
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(turn, signs, node, root, n): a row for each order; ``signs``: a byte of each of ORDERS x SIGNS smallest hashes of a text's labelled shingles,
+    those of the order first."""
+    factors = np.random.default_rng(20240611).integers(1, 2**63, ORDERS * SIGNS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    arrays.release_words()
+    for batch in batches:
+        texts = arrays.column_texts(batch, "text")
+        for begin, end in arrays.blocks(texts):
+            hashes, offsets = shingles(texts[begin:end])
+            labels, counts = labelled(hashes, offsets), np.diff(offsets)
+            at = np.flatnonzero(counts)
+            if not len(at):
+                continue
+            least = np.stack([np.minimum.reduceat(arrays.mixed(labels * f), offsets[:-1][at]) for f in factors], axis=1)
+            signs = (least % np.uint64(251)).astype(np.uint8)
+            row = pa.array(at + begin)
+            own = [batch.column(c).take(row) for c in ("node", "root")] + [pa.array(counts[at].astype(np.int32))]
+            for turn in range(ORDERS):
+                turned = np.roll(signs, -turn * SIGNS, axis=1).tobytes()
+                keys = pa.array([turned[k : k + ORDERS * SIGNS] for k in range(0, len(turned), ORDERS * SIGNS)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), turn, np.int32)), keys, *own], ["turn", "signs", "node", "root", "n"])
+
+
+def by_signatures(texts: DataFrame, path: str, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): pairs of (node, root, text) with different roots that stand near each other in an order of signatures, a > b.
+
+    Texts that agree in more shingles agree in longer beginnings of a signature, so a row's neighbours are its most similar rows. Of the WINDOW rows before it
+    a row is paired with the BESIDE of other roots that agree with it most, if they agree enough: the pairs are linear in the rows, whatever the groups.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            turn, n = (batch.column(c).to_numpy() for c in ("turn", "n"))
+            signs = np.frombuffer(b"".join(batch.column("signs").to_pylist()), np.uint8).reshape(-1, ORDERS * SIGNS)
+            nodes, roots = (np.array(batch.column(c).to_pylist(), object) for c in ("node", "root"))
+            now = (turn, n, signs, nodes, roots)
+            before = 0 if held is None else len(held[0])
+            turn, n, signs, nodes, roots = now if held is None else (np.concatenate(pair) for pair in zip(held, now, strict=True))
+            _, root = np.unique(roots.astype("S16"), return_inverse=True)
+            rows = np.arange(before, len(turn))
+            agree = np.zeros((len(rows), WINDOW), np.int16)
+            for k in range(1, WINDOW + 1):
+                mine = rows[rows >= k]
+                small, large = np.minimum(n[mine], n[mine - k]), np.maximum(n[mine], n[mine - k])
+                mine = mine[(turn[mine] == turn[mine - k]) & (root[mine] != root[mine - k]) & (small >= similarity * large)]
+                agree[mine - before, k - 1] = (signs[mine] == signs[mine - k]).sum(axis=1)
+            best = np.argsort(-agree, axis=1, kind="stable")[:, :BESIDE]
+            one, place = np.nonzero(np.take_along_axis(agree, best, axis=1) >= LIKELY * ORDERS * SIGNS)
+            pairs = [(nodes[before + i], nodes[before + i - 1 - best[i, j]]) for i, j in zip(one.tolist(), place.tolist(), strict=True)]
+            columns = [pa.array([pick(pair) for pair in pairs], pa.binary()) for pick in (max, min)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+            held = tuple(column[-WINDOW:] for column in (turn, n, signs, nodes, roots))
+
+    kinds = "turn int, signs binary, node binary, root binary, n int"
+    signed = arrays.written(texts.select("node", "root", "text").mapInArrow(_signatures, kinds), path)
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["turn", "signs", "node"]
+    return signed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, "a binary, b binary").distinct()
+
+
+def merged(roots: DataFrame, edges: DataFrame, path: str) -> DataFrame:
+    """(node, root) after more edges (u, v): only the roots that they join are named anew, so the cost is theirs, not that of all edges."""
+    ends = edges.select("u", "v")
+    for c in ("u", "v"):
+        own = roots.select(F.col("node").alias(c), F.col("root").alias("own"))
+        ends = ends.join(own, c, "left").withColumn(c, F.coalesce("own", c)).drop("own")
+    named = components(arrays.written(ends.distinct(), f"{path}/ends"), f"{path}/parts").select(F.col("node").alias("root"), F.col("root").alias("named"))
+    moved = roots.join(named, "root", "left").select("node", F.coalesce("named", "root").alias("root"))
+    alone = named.select(F.col("root").alias("node"), "named").join(roots.select("node"), "node", "left_anti").select("node", F.col("named").alias("root"))
+    return arrays.written(moved.unionByName(alone), f"{path}/roots")
+
+
 def _label_counts(texts: DataFrame) -> np.ndarray:
     """For each counter the power of two of how many labelled shingles fall on it: 0 for a single one. A fixed number of bytes."""
 
@@ -406,7 +486,8 @@ def classes(docs: DataFrame, path: str) -> DataFrame:
     name one unless all of a class are null; repeated rows are repeated. ``path``: folder in the shared storage. ``stays``: rows of the smallest id in the class.
 
     First every node is aligned with its representative of the smallest hash; what that joins needs no more alignments, and only
-    pairs between different components are aligned after that. Last come buckets that were not compared all with all and are still in several components.
+    pairs between different components are aligned after that. Then come buckets that were not compared all with all and are still in several components: first
+neighbours in orders of signatures, then, for the parts that are left, all pairs with a rare shingle in common.
     """
     rows = arrays.written(sketched(docs), f"{path}/sketches")
     nodes = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
@@ -425,12 +506,14 @@ def classes(docs: DataFrame, path: str) -> DataFrame:
     apart = apart.join(first, ["a", "b"], "left_anti")
     more = arrays.written(verified(apart, texts), f"{path}/edges-2")
     roots = components(edges.unionByName(more).select("u", "v"), f"{path}/components-2")
-    hot = arrays.written(unsettled(left, roots), f"{path}/unsettled")
-    if not hot.isEmpty():
-        rare = arrays.written(by_rare_shingles(texts.join(hot, "node")), f"{path}/rare")
-        last = arrays.written(verified(rare, texts), f"{path}/edges-3")
-        if not last.isEmpty():
-            roots = components(edges.unionByName(more).unionByName(last).select("u", "v"), f"{path}/components-3")
+    for turn, more_pairs in enumerate((lambda found: by_signatures(found, f"{path}/signatures"), by_rare_shingles)):
+        hot = arrays.written(unsettled(left, roots), f"{path}/unsettled-{turn}")
+        if hot.isEmpty():
+            break
+        wider = arrays.written(more_pairs(texts.join(hot, "node")), f"{path}/more-pairs-{turn}")
+        links = arrays.written(verified(wider, texts), f"{path}/more-edges-{turn}")
+        if not links.isEmpty():
+            roots = merged(roots, links, f"{path}/merged-{turn}")
     own = rows.select("doc_id", "text_key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = own.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(_row_key()).alias("chosen"))
     return own.join(named, "root").select("doc_id", "text_key", "class_id", (_row_key() == F.col("chosen")).alias("stays"))
