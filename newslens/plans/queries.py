@@ -16,7 +16,7 @@ from newslens.session import working_path
 from newslens.sources import envelope, event_log, providers, staged
 from newslens.sources.tables import publish, rebuild
 from newslens.sources.tables import truncate_reload as truncate_reload_table
-from newslens.streaming import pipeline, sink
+from newslens.streaming import counted, pipeline, sink
 from newslens.streaming import dedup as stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -929,6 +929,22 @@ def dedup_url_bounded(spark, sf):
     return spark.read.schema("url_hash string").parquet(out)
 
 
+@query
+def dedup_url_counted(spark, sf):
+    """Urls in order, and in a second run in opposite order, past a memory of 20 urls for each of 16 shards: forgotten ones return."""
+    stream_dedup.use_disk_state(spark)
+    log, out, checkpoint = (working_path(spark, name) for name in ("log", "remembered", "checkpoint"))
+    urls = corpus(spark, sf).events.select("url_hash")
+    for turn, order in enumerate((F.col("url_hash"), F.translate("url_hash", "0123456789abcdef", "fedcba9876543210"))):
+        fields = F.struct("url_hash", order.alias("sequence"), F.lit(turn).alias("turn"))
+        event_log.append(urls.select(F.col("url_hash").alias("key"), F.to_json(fields).alias("value")), log)
+        value = F.from_json(F.col("value").cast("string"), "url_hash string, sequence string, turn int")
+        events = event_log.log_stream(spark, log, "earliest").select(value.alias("v")).select("v.*")
+        kept = counted.dedup_counted(events, "url_hash", "sequence", remembered=16 * 20, shards=16, shard=F.left("url_hash", F.lit(1)))
+        kept.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema("url_hash string, turn int").parquet(out)
+
+
 @query
 def backfill_coverage(spark, sf):
     events = table(spark, sf, "events")
