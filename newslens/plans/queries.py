@@ -16,7 +16,7 @@ from newslens.session import working_path
 from newslens.sources import envelope, event_log, providers, staged
 from newslens.sources.tables import publish, rebuild
 from newslens.sources.tables import truncate_reload as truncate_reload_table
-from newslens.streaming import counted, pipeline, sink
+from newslens.streaming import counted, pipeline, progress, sink
 from newslens.streaming import dedup as stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -945,6 +945,22 @@ def dedup_url_counted(spark, sf):
     return spark.read.schema("url_hash string, turn int").parquet(out)
 
 
+@query
+def stream_run_log(spark, sf):
+    """The log of a stream that reads the messages of each language in a run of its own and keeps the first of each key."""
+    stream_dedup.use_disk_state(spark)
+    log, runs, checkpoint = (working_path(spark, name) for name in ("log", "runs", "checkpoint"))
+    messages = _messages(spark, sf)
+    language = F.coalesce(F.get_json_object("value", "$.language"), F.lit("es"))
+    for name in ("de", "en", "es", "fr"):
+        event_log.append(messages.where(language == name), log)
+        kept = event_log.log_stream(spark, log, "earliest").dropDuplicates(["key"]).observe("kept", F.count(F.lit(1)).alias("rows"))
+        with progress.StreamLog(spark, runs, "messages", written="kept"):
+            writer = kept.writeStream.queryName("messages").format("noop").option("checkpointLocation", checkpoint)
+            writer.trigger(availableNow=True).start().awaitTermination()
+    return progress.read_log(spark, runs).select("query", "batch_id", "status", "rows_read", "rows_written", "rows_in_state")
+
+
 @query
 def backfill_coverage(spark, sf):
     events = table(spark, sf, "events")
