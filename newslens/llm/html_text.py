@@ -26,14 +26,16 @@ BLOCKS = set(
     "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
-HIDDEN = set("head select option button datalist object audio video canvas".split())
+RAW = set("script style textarea title noscript template iframe noembed noframes".split())
+HIDDEN = set("head select option button datalist object audio video canvas svg".split())
+#: What can stand in a head whose end tag is left out; anything else ends it.
+IN_HEAD = set("html head base basefont bgsound link meta noframes noscript script style template title".split())
 PLAIN = set("html body div span".split())
 CLOSE_P = BLOCKS - {"caption", "body", "html", "tbody", "td", "tfoot", "th", "thead", "tr"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = set("table ul ol dl div article section aside nav header footer main form".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 _STATES = 2
@@ -57,9 +59,9 @@ def _attribute_names(attributes: str) -> list[str]:
 
 
 def leaves(page: str) -> list[Leaf]:
-    """The leaf blocks of a page in their order. Comments, scripts, styles, the head and controls of forms are no text.
+    """The leaf blocks of a page in their order. Comments, scripts, styles, drawings, the head and controls of forms are no text; formulas are.
 
-    Unclosed and wrongly nested elements are taken as browsers do in the common cases: a block ends a paragraph, an item ends the one
+    A head without end tag ends where something comes that cannot stand in it; quotes in a tag count behind an equals sign only. Unclosed and wrongly nested elements are taken as browsers do in the common cases: a block ends a paragraph, an item ends the one
     before, an end tag closes what is open inside, and one that nothing opened is ignored.
     """
     made: list[Leaf] = []
@@ -100,6 +102,8 @@ def leaves(page: str) -> list[Leaf]:
                 return
 
     while token := _TOKEN.search(page, at):
+        if hidden and page[at : token.start()].strip():
+            close({"head"}, set())
         add(page[at : token.start()])
         at = token.end()
         if token[2] is None:
@@ -112,18 +116,27 @@ def leaves(page: str) -> list[Leaf]:
                 flush()
             if any(open_ == name for open_, _ in stack):
                 pop(max(k for k, (open_, _) in enumerate(stack) if open_ == name))
+        elif name == "xmp":  # its contents are text as they stand
+            flush()
+            end = re.compile(r"</xmp(?=[\s/>])", re.I).search(page, at)
+            close({"head", "svg"}, set())
+            add(html.escape(page[at : end.start() if end else len(page)], quote=False))
+            flush()
+            at = end.start() if end else len(page)
         elif name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
             at = end.start() if end else len(page)
         else:
+            if hidden and name not in IN_HEAD:
+                close({"head"}, set())
             if name in BLOCKS:
                 flush()
+                if hidden:
+                    close({"svg"}, set())  # a block cannot stand in a drawing: it was left open
                 if name in CLOSE_P:
                     close({"p"}, SCOPE)
                 if name in SAME:
                     close(SAME[name], {"table", "ul", "ol", "dl"} if name != "tr" else {"table"})
-                if name == "body":
-                    close({"head"}, set())
             if name not in VOID and not token[3].endswith("/"):
                 own = ([] if name in PLAIN else [name]) + _attribute_names(token[3])
                 above = stack[-1][1] if stack else ()

@@ -211,6 +211,16 @@ def test_main_text_of_supplied_pages(spark):
 def test_leaves_and_edges(spark):
     page = "<p>a&amp;b <i>c</i><br>d<p>e<!-- x > --><script>if (a<b) '<p>'</script> f<ul><li>1<li>2</ul><a title='>'>z</a>"
     assert [leaf.text for leaf in html_text.leaves(page)] == ["a&b c d", "e f", "1", "2", "z"]
+    texts = lambda page: [leaf.text for leaf in html_text.leaves(page)]
+    assert texts("<article><p>a <svg/> b</p><p>c <math/> d</p><p>e</p></article>") == ["a b", "c d", "e"]
+    assert texts("<p>a<svg><title>t</title><text>no</text><path d='M0'/></svg>b</p><svg><g><p>c</p>") == ["ab", "c"]
+    assert texts("<head><title>t</title><meta charset=utf-8><style>s</style><p>a</p>b") == ["a", "b"]
+    assert texts("<html><head><title>t</title><link rel=x>\n  plain text <b>c</b>") == ["plain text c"]
+    assert texts("<html><head><script>x</script></head><body>a</body></html>") == ["a"]
+    assert texts("""<p class=lead">He said "yes, of course" to everyone.</p><p title='a>b' id = "x>y">c</p><p data-x=">d</p>""") == [
+        'He said "yes, of course" to everyone.', "c", "d",
+    ]
+    assert texts("<p>x <math><mi>a</mi><mo>+</mo><mi>b</mi></math> y</p><xmp>a &amp; <b></xmp>z") == ["x a+b y", "a &amp; <b>", "z"]
     assert html_text.leaves("") == [] and html_text.leaves("<<<>\x00<p") != None  # noqa: E711
     assert len(html_text.leaves("<div>" * 3000 + "x")) == 1 and html_text.leaves("<a href=\"" * 5000) is not None
     docs = spark.createDataFrame([(1, None, None, 3), (2, "u", "", 3), (2, "u", "", 3), (None, "v", "<article><p>Some text here.</p></article>", 3)], "page_id long, url string, html string, text int")
