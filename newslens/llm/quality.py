@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens.functions.lookup import bounded_rows
@@ -27,9 +27,26 @@ BANDS = (
 )
 #: The share of byte tokens may exceed the language's median by so much.
 MORE_FALLBACK = 0.15
-#: A language of fewer different texts has no median to compare with: only the plain counts decide there. A size of a language
-#: (power of two of the tokens) with fewer takes in the nearest sizes until there are enough.
+#: Bands are weighed: those of a language with n different texts count n, those of the script of the text (all languages) so much, and in the same way those
+#: of a script against fixed ones. So no group is too small to be judged, and one more text moves an edge a little instead of switching a rule on.
+WEIGHT = 10
+#: A size of a language (power of two of the tokens) with fewer different texts takes in the nearest sizes until there are enough.
 LEAST_TEXTS = 30
+#: Scripts by the code point at which a range of them begins ("" is none).
+SCRIPTS = (
+    (0x0, ""), (0x41, "latin"), (0x5B, ""), (0x61, "latin"), (0x7B, ""), (0xC0, "latin"), (0x250, ""), (0x370, "greek"), (0x400, "cyrillic"),
+    (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x780, ""), (0x900, "indic"), (0xE00, "thai"), (0xE80, ""), (0x10A0, "georgian"),
+    (0x1100, "hangul"), (0x1200, ""), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, ""), (0x3040, "kana"), (0x3100, ""), (0x3400, "han"), (0xA000, ""),
+    (0xAC00, "hangul"), (0xD7B0, ""), (0xF900, "han"), (0xFB00, ""),
+)
+#: Lowest and highest that the two public vocabularies give on sound texts, for Latin script and for any other; entropy is
+#: bounded below by a line over the power of two of the tokens.
+FIXED_BANDS = {
+    "tokens_per_word": {"latin": (0.8, 4.5), "": (0.5, 1e6)},
+    "chars_per_token": {"latin": (1.5, 7.0), "": (0.2, 16.0)},
+    "fallback_share": {"latin": (0.0, 0.3), "": (0.0, 1.0)},
+}
+FIXED_ENTROPY, ENTROPY_A_SIZE = 3.5, 0.15
 UNKNOWN = "und"
 SALTS = 64
 
@@ -108,6 +125,14 @@ def measure(texts: list[str], byte_path: str, piece_path: str) -> dict[str, np.n
     line_starts, line_ends = line_starts[lines], cuts[lines]
     again = _later_copies(arrays.span_hashes(sums, line_starts, line_ends), of(line_starts))
 
+    begins, names = zip(*SCRIPTS, strict=True)
+    kinds = {name: k for k, name in enumerate(dict.fromkeys(names))}  # "" is 0
+    kind = np.array([kinds[name] for name in names])[np.searchsorted(begins, points, side="right") - 1]
+    kind[points == arrays.BREAK] = 0
+    lettered = np.flatnonzero(kind)
+    shares = np.bincount(of(lettered) * len(kinds) + kind[lettered], minlength=n * len(kinds)).reshape(n, len(kinds))
+    script = np.array(list(kinds))[shares.argmax(axis=1)]
+
     cache = _pieces(piece_path)
     where, _ = cache.look(hashes, lambda at: joined[starts[at] : ends[at]])
     pairs = cache.numbers(where, np.full(len(where), 2)).reshape(-1, 2)
@@ -130,12 +155,13 @@ def measure(texts: list[str], byte_path: str, piece_path: str) -> dict[str, np.n
         "chars_per_token": word_chars / np.maximum(pieces, 1),
         "fallback_share": bytes_ / np.maximum(pieces, 1),
         "token_entropy": entropy,
+        "script": script,
         "text_hash": arrays.span_hashes(sums, doc_starts, breaks).view(np.int64),
     }
 
 
 def measured(docs: DataFrame, byte_path: str, piece_path: str, keep: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
-    """(doc: struct of the columns to keep, lang, counts, measures) of every row, in one narrow pass over whole texts.
+    """(doc: struct of the columns to keep, lang, script of most letters, counts, measures) of every row, in one narrow pass over whole texts.
 
     Kept columns stay in their own struct, so that no name can clash.
     """
@@ -148,11 +174,11 @@ def measured(docs: DataFrame, byte_path: str, piece_path: str, keep: list[str],
         texts = arrays.column_texts(batch, "text")
         for begin, end in arrays.blocks(texts):
             found = measure(texts[begin:end], byte_path, piece_path)
-            own = [batch.column(c).slice(begin, end - begin) for c in ("doc", "lang")]
+            own = [batch.column(c).slice(begin, end - begin) for c in ("doc", "lang")] + [pa.array(found["script"].tolist(), pa.string())]
             made = [pa.array(found[c].astype(np.int64 if t == "long" else np.float64)) for c, t in types.items()]
-            yield pa.RecordBatch.from_arrays([*own, *made], ["doc", "lang", *types])
+            yield pa.RecordBatch.from_arrays([*own, *made], ["doc", "lang", "script", *types])
 
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, lang string, " + ", ".join(f"{c} {t}" for c, t in types.items())
+    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, lang string, script string, " + ", ".join(f"{c} {t}" for c, t in types.items())
     return arrays.map_batches(rows, work, schema, words=True)
 
 
@@ -174,27 +200,52 @@ def _pools(single: DataFrame) -> DataFrame:
     return pairs.withColumn("nearer", F.coalesce(F.sum("n").over(nearer), F.lit(0))).where(F.col("nearer") < LEAST_TEXTS).select("lang", "size", "for_size")
 
 
+def _fixed(measure: str, side: int) -> Column:
+    bands = FIXED_BANDS[measure]
+    return F.when(F.col("script") == "latin", bands["latin"][side]).otherwise(bands[""][side])
+
+
+def _weighed(n: str, own: Column, other: Column) -> Column:
+    """The edge of a group of ``n`` texts, weighed against that of a wider one; no texts, no edge of its own."""
+    count = F.coalesce(F.col(n), F.lit(0))
+    return F.when(count > 0, (count * own + WEIGHT * other) / (count + WEIGHT)).otherwise(other)
+
+
 def judged(rows: DataFrame) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to a written table of measured rows.
 
-    The medians are a row for each language (and power of two of the tokens). Documents without words fail; a null language is a language of its own.
+    The medians are a row for each language, each script, and each power of two of a language's tokens. Documents without words fail; a null language is a
+    language of its own. Medians are of numbers rounded to thousandths, so they are the same however the rows are dealt.
     """
+    if "script" not in rows.columns:
+        rows = rows.withColumn("script", F.lit(""))
     rows = rows.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))))
     rows = rows.withColumn(
         "base_failed", (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     )
-    narrow = rows.where(~F.col("base_failed")).select("lang", "size", "text_hash", *MEASURES)
-    single = narrow.groupBy("text_hash", "lang").agg(*[F.first(c).alias(c) for c in ("size", *MEASURES)])
-    median = lambda c: F.when(F.count(F.lit(1)) >= LEAST_TEXTS, F.percentile_approx(c, 0.5, 10_000)).alias(f"mid_{c}")
-    by_lang = single.groupBy("lang").agg(*[median(c) for c in MEASURES if c != "token_entropy"])
+    narrow = rows.where(~F.col("base_failed")).select("lang", "script", "size", "text_hash", *MEASURES)
+    single = narrow.groupBy("text_hash", "lang").agg(*[F.first(c).alias(c) for c in ("script", "size", *MEASURES)])
+    middle = lambda of, *names: [F.count(F.lit(1)).alias(f"n_{of}"), *[F.percentile(F.round(c, 3), 0.5).alias(f"{of}_{c}") for c in names]]
+    by_lang = single.groupBy("lang").agg(*middle("lang", *FIXED_BANDS))
+    by_script = single.groupBy("script").agg(*middle("script", *FIXED_BANDS))
     pooled = _with_medians(single, _pools(single), ["lang", "size"])
-    by_size = pooled.groupBy("lang", F.col("for_size").alias("size")).agg(median("token_entropy"))
-    judged_rows = _with_medians(_with_medians(rows, by_lang, ["lang"]), by_size, ["lang", "size"])
-    outside = [F.col("fallback_share") > F.col("mid_fallback_share") + MORE_FALLBACK]
-    for name, low, high in BANDS:
-        outside.append(~F.col(name).between(F.col(f"mid_{name}") * low, F.col(f"mid_{name}") * high))
-    rejected = F.coalesce(F.greatest(*[F.coalesce(o, F.lit(False)) for o in outside]), F.lit(False))
-    return judged_rows.withColumn("kept", ~F.col("base_failed") & ~rejected)
+    by_size = pooled.groupBy("lang", F.col("for_size").alias("size")).agg(*middle("size", "token_entropy"))
+    found = rows
+    for medians, keys in ((by_lang, ["lang"]), (by_script, ["script"]), (by_size, ["lang", "size"])):
+        found = _with_medians(found, medians, keys)
+    factors = {name: (low, high) for name, low, high in BANDS}
+    inside = []
+    for name in FIXED_BANDS:
+        for side in (0, 1):
+            edge = lambda of: F.col(f"{of}_{name}") * factors[name][side] if name in factors else F.col(f"{of}_{name}") + side * MORE_FALLBACK  # noqa: E731, B023
+            line = _weighed("n_lang", edge("lang"), _weighed("n_script", edge("script"), _fixed(name, side)))
+            if name in factors or side:
+                inside.append(F.col(name) <= line if side else F.col(name) >= line)
+    low, high = factors["token_entropy"]
+    size = F.col("size").cast("double")
+    inside.append(F.col("token_entropy") >= _weighed("n_size", F.col("size_token_entropy") * low, FIXED_ENTROPY + ENTROPY_A_SIZE * size))
+    inside.append(F.col("token_entropy") <= _weighed("n_size", F.col("size_token_entropy") * high, size + 1))
+    return found.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.least(*inside), F.lit(False)))
 
 
 def quality(docs: DataFrame, byte_path: str, piece_path: str, path: str, keep: list[str]) -> DataFrame:

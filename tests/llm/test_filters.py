@@ -1,12 +1,14 @@
 """Quality rules, licence scan, line dedup and main text against plain Python."""
 
 import collections
+import random
 import re
+import statistics
 
 import public_tokenizers
 import pytest
 
-from newslens.llm import html_text, license_rules, license_scan, line_dedup, quality
+from newslens.llm import arrays, html_text, license_rules, license_scan, line_dedup, quality
 from newslens.llm.license_rules import rules
 from newslens.session import working_path
 
@@ -60,6 +62,67 @@ def test_quality_of_rare_sizes_is_judged_by_the_nearest(spark, bounded, monkeypa
     assert kept == {k: k not in (40, 42) for k in range(43)}
 
 
+def kept_in_plain_python(rows):
+    """{text_hash: kept} of measured rows, by the words of the docstrings."""
+    size = lambda r: max(1, r["n_tokens"]).bit_length() - 1
+    sound = {r["text_hash"]: r for r in rows if r["n_words"] >= 50 and 100 * r["n_repeat_words"] <= 50 * r["n_words"]}
+    single = {(r["text_hash"], r["lang"]): r for r in rows if r["text_hash"] in sound}.values()
+
+    def edge(members, name, side, wider):
+        if not members:
+            return wider
+        middle = statistics.median(round(r[name], 3) for r in members)
+        own = middle + side * quality.MORE_FALLBACK if name == "fallback_share" else middle * {b[0]: b for b in quality.BANDS}[name][1 + side]
+        return (len(members) * own + quality.WEIGHT * wider) / (len(members) + quality.WEIGHT)
+
+    def pool(r):
+        own = [s for s in single if s["lang"] == r["lang"]]
+        for apart in range(64):
+            near = [s for s in own if abs(size(s) - size(r)) <= apart]
+            if len(near) >= quality.LEAST_TEXTS or len(near) == len(own):
+                return near
+
+    verdicts = {}
+    for key, r in sound.items():
+        ok = True
+        for name in quality.FIXED_BANDS:
+            for side in (0, 1):
+                fixed = quality.FIXED_BANDS[name]["latin" if r["script"] == "latin" else ""][side]
+                script = edge([s for s in single if s["script"] == r["script"]], name, side, fixed)
+                line = edge([s for s in single if s["lang"] == r["lang"]], name, side, script)
+                if (name, side) != ("fallback_share", 0):
+                    ok &= r[name] <= line if side else r[name] >= line
+        near = pool(r)
+        ok &= r["token_entropy"] >= edge(near, "token_entropy", 0, quality.FIXED_ENTROPY + quality.ENTROPY_A_SIZE * size(r))
+        ok &= r["token_entropy"] <= edge(near, "token_entropy", 1, size(r) + 1)
+        verdicts[key] = ok
+    return {r["text_hash"]: verdicts.get(r["text_hash"], False) for r in rows}
+
+
+def test_quality_against_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = arrays.written(quality.measured(docs, BYTES, PIECES, ["doc_id"]), working_path(spark, "test-quality"))
+    found = {r.text_hash: r.kept for r in quality.judged(rows).collect()}
+    assert found == kept_in_plain_python([r.asDict() for r in rows.collect()]) and 0 < sum(found.values()) < len(found)
+
+
+def test_quality_judges_alike_in_groups_of_any_size(spark):
+    rng = random.Random(6)
+    stems = "Die Regierung hat am Dienstag beschlossen Steuern für kleine und mittlere Unternehmen zu senken um Wachstum zu fördern".split()
+    german = [" ".join(rng.choice(stems) + rng.choice(["", "en", "ung"]) for _ in range(120)) for _ in range(31)]
+    junk = " ".join("".join(rng.choice("qxzvkjwpbgm") for _ in range(rng.randrange(3, 8))) for _ in range(120))
+    for peers in (0, 1, 29, 30, 31):
+        data = [(-1, junk, "de")] + [(k, t, "de") for k, t in enumerate(german[:peers])]
+        docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+        rows = quality.quality(docs, BYTES, PIECES, working_path(spark, "test-quality"), ["doc_id"]).collect()
+        assert {r.doc.doc_id: r.kept for r in rows} == {i: i >= 0 for i, _, _ in data}, peers
+
+
+def test_scripts():
+    texts = ["ein Wort", "слово word слова", "日本 語の", "12 !", "", "عربي"]
+    assert quality.measure(texts, BYTES, PIECES)["script"].tolist() == ["latin", "cyrillic", "han", "", "", "arabic"]
+
+
 def brute_scan(text):
     fold = str.maketrans(license_scan.UPPER, license_scan.LOWER)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(fold))
