@@ -1,6 +1,7 @@
 """The log of a stream's micro-batches: counts, late rows, failures."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from newslens.streaming.progress import StreamLog, read_log
 def land(folder, name, rows):
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
+    at = int(name.partition(".")[0])  # files are taken in the order of their times
+    os.utime(folder / name, (1_700_000_000 + at, 1_700_000_000 + at))
 
 
 def test_batches_late_rows_and_failures(spark, tmp_path):
