@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newslens.functions import clock, sentiment, text
-from newslens.operators import dedup, dimensions, late, marts, matching, mentions, quality, tiles, upsert
+from newslens.operators import dedup, dimensions, late, marts, matching, mentions, partials, quality, tiles, upsert
 from newslens.plans import batch, refresh
 from newslens.plans.corpus import as_of, corpus, dim_aliases, ntz, table, word_list
 from newslens.schemas import EVENT_FIELDS
 from newslens.session import working_path
 from newslens.sources import envelope, event_log, providers, staged
-from newslens.sources.tables import publish, rebuild
+from newslens.sources.tables import publish, rebuild, written_once
 from newslens.sources.tables import truncate_reload as truncate_reload_table
-from newslens.streaming import counted, pipeline, progress, sink
+from newslens.streaming import counted, pipeline, progress, sink, windows
 from newslens.streaming import dedup as stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -703,6 +703,29 @@ def hour_mart(spark, sf):
     return marts.hour_mart(corpus(spark, sf).scored_hits)
 
 
+def _mart_rows(rows: DataFrame) -> DataFrame:
+    """What a mart needs of matched rows."""
+    return rows.select("event_id", "company_id", "url_hash", "published_at_ts", "sentiment_score")
+
+
+@query
+def hour_mart_from_minutes(spark, sf):
+    """Hours merged from minute partials, with the distinct articles of an hour."""
+    rows = written_once(_mart_rows(corpus(spark, sf).scored_hits))
+    fine = partials.partials(rows, partials.number_articles(rows))
+    return partials.finished(partials.coarser(fine, "hour"), "hour")
+
+
+@query
+def day_mart_stored(spark, sf):
+    """Days merged from the stored minute partials of four batches, one for each quarter of the day."""
+    stored = partials.StoredPartials(working_path(spark, "partials"))
+    rows = written_once(_mart_rows(corpus(spark, sf).scored_hits))
+    for batch in range(4):
+        stored.add(rows.where(F.floor(F.hour("published_at_ts") / 6) == batch), batch)
+    return stored.mart(spark, "day")
+
+
 @query
 def article_volume(spark, sf):
     return marts.article_volume(corpus(spark, sf).unified, corpus(spark, sf).companies)
@@ -894,6 +917,26 @@ def stream_minute_mart(spark, sf):
     return sink.read_minutes(spark, tables)
 
 
+@query
+def stream_minute_windows(spark, sf):
+    """The mart of a stream with a watermark 20 days behind: rows of the mornings come first, so of the others the old ones are late and only counted."""
+    stream_dedup.use_disk_state(spark)
+    log, root, checkpoint = (working_path(spark, name) for name in ("log", "windows", "checkpoint"))
+    scorer = sentiment.Lexicon.load(word_list(spark)).core_score
+    rows = _mart_rows(sink.matched_rows(corpus(spark, sf).events, matching.load_aliases(dim_aliases(spark)), scorer))
+    rows = written_once(rows)
+    for turn in (F.hour("published_at_ts") < 12, F.hour("published_at_ts") >= 12):
+        message = F.to_json(F.struct(*rows.columns)).alias("value")
+        event_log.append(rows.where(turn).select(F.col("url_hash").alias("key"), message), log)
+        fields = F.from_json(F.col("value").cast("string"), rows.schema).alias("v")
+        stream = event_log.log_stream(spark, log, "earliest").select(fields).select("v.*")
+        windows.start(stream, root, checkpoint, delay="20 days").awaitTermination()
+    key = ["bucket_minute", "company_id"]
+    late = windows.read_late(spark, root).withColumn("bucket_minute", clock.time_bucket(F.col("published_at_ts"), "minute"))
+    late = late.groupBy(*key).agg(F.count(F.lit(1)).alias("late_rows"), F.max("watermark").alias("watermark"))
+    return windows.read_minutes(spark, root).join(late, key, "full_outer")
+
+
 @query
 def dedup_stream_url(spark, sf):
     stream_dedup.use_disk_state(spark)

@@ -82,7 +82,7 @@ def merge_touched(
     replaced before its new rows are complete. Distinct partition values come to the driver, never rows.
     """
     spark = source.sparkSession
-    staged = _staged(source)
+    staged = written_once(source)
     values = [row[0] for row in staged.select(partition).distinct().collect()]
     if not values:
         return
@@ -92,11 +92,12 @@ def merge_touched(
         if unknown:
             raise ValueError(f"the table has no column {sorted(unknown)}")
         touched = target.where(F.col(partition).isin(*values))
-        staged = _staged(merge(touched, staged).select(*target.columns))
+        staged = written_once(merge(touched, staged).select(*target.columns))
     overwrite_touched(staged, path, [partition])
 
 
-def _staged(df: DataFrame) -> DataFrame:
+def written_once(df: DataFrame) -> DataFrame:
+    """Rows from a table in the shared folder: what is used several times is evaluated once, and lost executors cost nothing of it."""
     staging = working_path(df.sparkSession, "staged")
     df.write.parquet(staging)
     return df.sparkSession.read.schema(df.schema).parquet(staging)
@@ -105,7 +106,7 @@ def _staged(df: DataFrame) -> DataFrame:
 def replace_model_partitions(scored: DataFrame, path: str, retired: list[str]) -> None:
     """On a sentiment table partitioned by model: replace every model that ``scored`` has rows of, empty the retired ones."""
     spark = scored.sparkSession
-    staged = _staged(scored)
+    staged = written_once(scored)
     models = {row[0] for row in staged.select("model_name").distinct().collect()}
     if models:
         overwrite_touched(staged, path, ["model_name"])
