@@ -17,6 +17,7 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE_SCORE = 0.5
+CHUNK = 256  # matches whose places are added up at a time
 _PRIORITIES = (1, 2, 3)
 
 
@@ -36,6 +37,37 @@ def _word_before(words: Column, position: Column) -> Column:
     return (blanks(F.substring(words, 1, position)) - 1).cast("long")
 
 
+def _added_up(items: Column, at: Column, name: str, kind: str, advance, made) -> Column:
+    """What ``made(at, item)`` gives for each item, where ``at`` grows by ``advance(item)``. Every step copies the list so far, so lists must be short."""
+
+    def step(state: Column, item: Column) -> Column:
+        return F.struct((state["at"] + advance(item)).alias("at"), F.array_append(state[name], made(state["at"], item)).alias(name))
+
+    start = F.struct(at.alias("at"), F.array().cast(f"array<{kind}>").alias(name))
+    return F.aggregate(items, start, step, lambda state: state[name])
+
+
+def _spans(pairs: Column) -> Column:
+    """(start, stop) of matches from the gap before each and its size, by chunks: the places where chunks begin, then those within each.
+
+    A text of some MB may hold hundreds of thousands of matches; one list of them all would be copied at each.
+    """
+    width = lambda pair: pair["gap"] + pair["size"]
+    numbers = F.when(F.size(pairs) > 0, F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / CHUNK).cast("int"))).otherwise(F.array().cast("array<int>"))
+    chunks = F.transform(numbers, lambda k: F.slice(pairs, k * CHUNK + 1, CHUNK))
+
+    def span(at: Column, pair: Column) -> Column:
+        return F.struct((at + pair["gap"]).alias("start"), (at + width(pair)).alias("stop"))
+
+    def placed(cut: Column) -> Column:
+        sizes = F.transform(cut, lambda chunk: F.aggregate(chunk, F.lit(0), lambda total, pair: total + width(pair)))
+        begins = _added_up(sizes, F.lit(0), "begins", "int", lambda size: size, lambda at, _: at)
+        within = lambda chunk, at: _added_up(chunk, at, "spans", "struct<start:int,stop:int>", width, span)
+        return F.flatten(F.zip_with(cut, begins, within))
+
+    return bound(chunks, placed)
+
+
 def _detections(words: Column, rule_rows: Column) -> Column:
     """All matches of the rules whose keyword is in the text: array of (start, end, priority, score, label)."""
     tried = F.filter(rule_rows, lambda group: F.contains(words, group["keyword"]))
@@ -46,17 +78,9 @@ def _detections(words: Column, rule_rows: Column) -> Column:
         between = F.transform(F.split(words, rule["pattern"], F.lit(-1)), lambda part: F.length(part))
         sizes = F.transform(found, lambda match: F.length(match))
         gaps = F.slice(between, 1, F.greatest(F.size(found), F.lit(0)))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("spans"))
-
-        def step(state: Column, pair: Column) -> Column:
-            begin = state["at"] + pair["gap"]
-            stop = begin + pair["size"]
-            return F.struct(stop.alias("at"), F.array_append(state["spans"], F.struct(begin.alias("start"), stop.alias("stop"))).alias("spans"))
-
         pairs = F.zip_with(gaps, sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
-        spans = F.aggregate(pairs, start, step, lambda state: state["spans"])
         return F.transform(
-            spans,
+            bound(pairs, _spans),
             lambda span: F.struct(
                 span["start"].alias("start"), (-span["stop"]).alias("before"), (-rule["priority"]).alias("rank"),
                 span["stop"].alias("stop"), rule["priority"].alias("priority"), rule["score"].alias("score"), rule["label"].alias("label"),

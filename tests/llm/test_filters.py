@@ -169,6 +169,21 @@ def test_license_scan(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_places_of_matches_across_chunks(spark):
+    """Places added up by chunks are those added up one by one, at and around the borders of chunks."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    lists = {n: [(rng.randrange(9), rng.randrange(1, 30)) for _ in range(n)] for n in (0, 1, 255, 256, 257, 513, 2000)}
+    made = spark.createDataFrame(list(lists.items()), "n int, pairs array<struct<gap:int,size:int>>")
+    for n, spans in made.select("n", license_scan._spans(F.col("pairs"))).collect():
+        at, expected = 0, []
+        for gap, size in lists[n]:
+            expected.append((at + gap, at + gap + size))
+            at += gap + size
+        assert [tuple(span) for span in spans] == expected
+
+
 def test_license_rules_are_hundreds_and_sound():
     own = rules()
     assert len(own) > 300 and all(re.compile(rule.pattern) for rule in own)
