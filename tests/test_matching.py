@@ -143,6 +143,31 @@ def test_a_table_of_too_many_bytes_does_not_travel(rows, monkeypatch):
     assert matching.AliasIndex.load(aliases) is None
 
 
+def test_the_join_rolls_whole_batches_past_its_filter(rows):
+    aliases = matching.load_aliases(rows([(1, "ab"), (2, "語文 x")], "company_id bigint, alias string"))
+    text = rows([(1, "ab")], "event_id bigint, article_text string")
+    plan = matching.match_substring(text, aliases, up_to=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "ArrowEvalPython" in plan
+
+
+@pytest.mark.parametrize("step", [5, 1 << 20])
+def test_anchors_against_plain_python(step, monkeypatch):
+    monkeypatch.setattr(matching, "STEP", step)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcé語") for _ in range(rng.randint(0, 40))) for _ in range(80)] + [None, "", "語" * 9]
+    lengths, passes = [1, 3, 7], np.ones(matching.FILTER_BITS, bool)
+    number = lambda stretch: (len(stretch) << 56) + int.from_bytes(stretch, "big")
+    raw = [(text or "").encode() for text in texts]
+    expected = {(k, number(t[i : i + n])) for k, t in enumerate(raw) for n in lengths for i in range(len(t) - n + 1)}
+    found = matching.anchors_in(*text_bytes(pa.array(["ab", *texts])[1:]), lengths, passes)
+    got = list(zip(*(column.tolist() for column in found), strict=True))
+    assert got == sorted(expected)
+    passes[:] = False
+    passes[matching._slots(np.array([number(b"abc")]))] = True
+    only = matching.anchors_in(*text_bytes(pa.array(texts)), lengths, passes)
+    assert {(k, number(b"abc")) for k, t in enumerate(raw) if b"abc" in t} <= set(zip(*(column.tolist() for column in only), strict=True))
+
+
 def test_patterns_against_plain_python():
     rng = random.Random(2)
     word = lambda top: "".join(rng.choice("abcé語") for _ in range(rng.randint(1, top)))
