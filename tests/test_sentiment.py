@@ -157,3 +157,41 @@ def test_word_list_beyond_the_limit_is_joined(rows, monkeypatch):
     got = sorted(r.x for r in s.scored(texts, "t", table, "x").collect())
     monkeypatch.undo()
     assert got == sorted(r.x for r in s.scored(texts, "t", table, "x").collect())
+
+
+def test_words_in_batches_are_those_of_the_pattern(spark, rows, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from newslens.functions import words
+    from newslens.functions.patterns import text_bytes
+
+    rng = random.Random(3)
+    drawn = lambda: "".join(rng.choice("aB''é語 \u0301𝒜İ-1") for _ in range(rng.randint(0, 30)))
+    texts = [*(drawn() for _ in range(300)), None, "", "a", "'", "a'", "'a", "b" * 20, "best's", "ǅ'ａ"]
+    listed = [("a", 1.0), ("b", 2.5), ("a'b", -3.0), ("é", 0.5), ("語", 0.25), ("b" * 20, 4.0), ("best's", 3.2), ("a\u0301", -0.7), ("no word", 9.0)]
+    table = rows(listed, "token string, valence double")
+    df = rows(list(enumerate(texts)), "id int, text string")
+    value = dict(listed)
+    tokens = df.select("id", s.word_tokens(F.coalesce("text", F.lit(""))).alias("w")).orderBy("id").collect()
+    expected = [round(sum(round(value.get(w, 0) * 10_000) for w in r.w)) for r in tokens]
+    packed = words.letters(spark.sparkContext.applicationId, s.LETTER)
+    index = words.ListedWords({w: round(v * 10_000) for w, v in listed}, packed)
+    lowered = [r.t for r in df.select("id", F.lower("text").alias("t")).orderBy("id").collect()]
+    for step in (1, 40, 1 << 20):
+        monkeypatch.setattr(words, "STEP", step)
+        data, offsets = text_bytes(pa.array(["a b", *lowered])[1:])
+        assert index.totals(data, np.asarray(offsets)).tolist() == expected
+    scores = df.select("id", Lexicon.load(table).core_score(F.col("text")).alias("x"))
+    assert "ArrowEvalPython" in scores._jdf.queryExecution().optimizedPlan().toString()
+    joined = s.lexicon_scores_by_join(df, "id", "text", table)
+    assert sorted(map(tuple, scores.collect())) == sorted(map(tuple, joined.collect()))
+
+
+def test_the_join_of_a_word_list_reads_texts_twice_and_keeps_listed_words_only(rows):
+    texts = rows([(1, "good good no-one"), (2, "good good no-one"), (3, None), (None, "nothing listed")], "id int, text string")
+    scores = s.lexicon_scores_by_join(texts, "id", "text", rows(list(WORDS.items()), "token string, valence double"))
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2 and "filter(regexp_extract_all" in plan
+    both = half_up(2.6 / math.sqrt(2.6 * 2.6 + 15))
+    assert sorted(map(tuple, scores.collect()), key=str) == sorted([(1, both), (2, both), (3, 0.0), (None, 0.0)], key=str)
