@@ -201,11 +201,14 @@ SIGNATURE_PRIORITY, SIGNATURE_SCORE = 3, 1.0
 
 @dataclass(frozen=True)
 class Rule:
+    """``core``: pattern of a whole stretch of words that every match holds; empty if there is none."""
+
     label: str
     keyword: str
     pattern: str
     priority: int
     score: float
+    core: str = ""
 
 
 def _table(text: str) -> list[list[str]]:
@@ -217,5 +220,5 @@ def rules() -> list[Rule]:
     made = [Rule(*row, SIGNATURE_PRIORITY, SIGNATURE_SCORE) for row in _table(SIGNATURES)]
     for wording, priority, score in reversed(WORDINGS):
         for label, keyword, name in _table(NAMES):
-            made.append(Rule(label, keyword, wording.format(f"(?:{name})"), priority, score))
+            made.append(Rule(label, keyword, wording.format(f"(?:{name})"), priority, score, name))
     return made

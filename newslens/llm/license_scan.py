@@ -69,18 +69,26 @@ def _spans(pairs: Column) -> Column:
 
 
 def _detections(words: Column, rule_rows: Column) -> Column:
-    """All matches of the rules whose keyword is in the text: array of (start, end, priority, score, label)."""
-    tried = F.filter(rule_rows, lambda group: F.contains(words, group["keyword"]))
+    """All matches of the rules whose keyword and core are in the text: array of (start, end, priority, score, label).
+
+    The core is looked for once for all wordings of a name, and only rules that match split the text.
+    """
+    cored = lambda group: (group["core"] == "") | F.call_function("rlike", words, group["core"])
+    tried = F.filter(rule_rows, lambda group: F.contains(words, group["keyword"]) & cored(group))
     every = F.flatten(F.transform(tried, lambda group: group["rules"]))
 
-    def matches(rule: Column) -> Column:
-        found = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
+    def placed(rule: Column, found: Column) -> Column:
         between = F.transform(F.split(words, rule["pattern"], F.lit(-1)), lambda part: F.length(part))
         sizes = F.transform(found, lambda match: F.length(match))
-        gaps = F.slice(between, 1, F.greatest(F.size(found), F.lit(0)))
+        gaps = F.slice(between, 1, F.size(found))
         pairs = F.zip_with(gaps, sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
+        return bound(pairs, _spans)
+
+    def matches(rule: Column) -> Column:
+        found = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
+        spans = bound(found, lambda found: F.when(F.size(found) > 0, placed(rule, found)))
         return F.transform(
-            bound(pairs, _spans),
+            F.coalesce(spans, F.array().cast("array<struct<start:int,stop:int>>")),
             lambda span: F.struct(
                 span["start"].alias("start"), (-span["stop"]).alias("before"), (-rule["priority"]).alias("rank"),
                 span["stop"].alias("stop"), rule["priority"].alias("priority"), rule["score"].alias("score"), rule["label"].alias("label"),
@@ -112,15 +120,19 @@ def _surviving(detections: Column) -> Column:
     return F.aggregate(F.array_sort(detections), start, step)
 
 
+def _whole(pattern: str) -> str:
+    """The pattern between the blanks of whole words."""
+    return f"(?<= )(?:{pattern})(?= )"
+
+
 def rule_groups(own: list[Rule]) -> Column:
-    """The rules by keyword as one literal; their number is fixed by hand, not by the data."""
-    groups: dict[str, list[dict]] = {}
+    """The rules by keyword and core as one literal; their number is fixed by hand, not by the data."""
+    groups: dict[tuple[str, str], list[dict]] = {}
     for rule in own:
-        pattern = f"(?<= )(?:{rule.pattern})(?= )"
-        row = {"pattern": pattern, "priority": rule.priority, "score": rule.score, "label": rule.label}
-        groups.setdefault(f" {rule.keyword}", []).append(row)
-    value = [{"keyword": keyword, "rules": made} for keyword, made in groups.items()]
-    return literal(value, "array<struct<keyword:string,rules:array<struct<pattern:string,priority:int,score:double,label:string>>>>")
+        row = {"pattern": _whole(rule.pattern), "priority": rule.priority, "score": rule.score, "label": rule.label}
+        groups.setdefault((f" {rule.keyword}", _whole(rule.core) if rule.core else ""), []).append(row)
+    value = [{"keyword": keyword, "core": core, "rules": made} for (keyword, core), made in groups.items()]
+    return literal(value, "array<struct<keyword:string,core:string,rules:array<struct<pattern:string,priority:int,score:double,label:string>>>>")
 
 
 def scan(docs: DataFrame, own: list[Rule] | None = None) -> DataFrame:

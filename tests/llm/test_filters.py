@@ -218,6 +218,19 @@ def test_license_rules_match_nothing_without_their_keyword():
         assert not [(label, phrase) for phrase in phrases if f" {keyword}" not in f" {phrase} "]
 
 
+def test_license_cores_gate_all_wordings_of_a_name(spark):
+    from dataclasses import replace
+
+    names = [rule for rule in rules() if rule.core]
+    assert len(names) == len(license_rules.WORDINGS) * len(license_rules._table(license_rules.NAMES))
+    texts = ["licensed under the gnu gpl v3 or later mit", "open general public domain", "subject to the terms of the mit license bsd style license", "gplv2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = license_scan.scan(docs, [replace(rule, core="") for rule in rules()])
+    assert sorted(license_scan.scan(docs).collect()) == sorted(plain.collect())
+    wrong = [replace(rule, core="never there") for rule in names]  # a rule whose core is missing is not tried
+    assert {r.n_detections for r in license_scan.scan(docs, wrong).collect()} == {0}
+
+
 def test_license_scan_finds_every_alternative(spark):
     texts = {1: "licensed under the GNU Library General Public License v2", 2: "not without the express written permission of the owner"}
     got = {r.doc_id: r.labels for r in license_scan.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
