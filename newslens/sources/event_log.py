@@ -25,8 +25,10 @@ from newslens.session import working_path
 FORMAT = "event_log"
 SCHEMA = "key string, value binary, partition int, offset long, timestamp timestamp"
 PARTITIONS = 3
-#: Messages that a task reads at most.
-TASK_ROWS = 250_000
+#: Messages and bytes of files that a task reads at most, and messages that it holds at a time.
+TASK_ROWS, TASK_BYTES, HELD_ROWS = 250_000, 32 << 20, 1_000
+#: Bytes of a row group: what a task skips or reads as a whole.
+GROUP_BYTES = 16 << 20
 
 
 class _Files:
@@ -73,13 +75,14 @@ def append(messages: DataFrame, path: str, partitions: int = PARTITIONS) -> dict
     rows = rows.withColumn("partition", F.pmod(F.xxhash64(F.coalesce("key", F.col("value").cast("string"))), F.lit(partitions)).cast("int"))
     folder = working_path(spark, "segments").rpartition("/")[2]
     # files of even size; a partition that holds most messages becomes several files
-    rows.hint("rebalance", "partition").write.partitionBy("partition").parquet(f"{path}/data/{folder}")
+    rows.hint("rebalance", "partition").write.option("parquet.block.size", GROUP_BYTES).partitionBy("partition").parquet(f"{path}/data/{folder}")
     written = spark.read.schema("key string, value binary, timestamp timestamp, partition int").parquet(f"{path}/data/{folder}")
-    counted = written.groupBy("partition", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    file = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")]
+    counted = written.groupBy("partition", *file).agg(F.count(F.lit(1)).alias("n"))
     ends, listed = dict(last["ends"]), []
     for row in counted.orderBy("partition", "file").collect():
         name = row["file"].rpartition("/data/")[2]
-        listed.append({"partition": row["partition"], "file": f"data/{name}", "first": ends[str(row["partition"])], "count": row["n"]})
+        listed.append({"partition": row["partition"], "file": f"data/{name}", "first": ends[str(row["partition"])], "count": row["n"], "bytes": row["bytes"]})
         ends[str(row["partition"])] += row["n"]
     files.write(f"manifests/{len(known):012d}.json", {"ends": ends, "files": listed})
     return {int(p): end for p, end in ends.items()}
@@ -158,16 +161,22 @@ class EventLogReader(DataSourceStreamReader):
             for entry in manifest["files"]:
                 p, first, count = str(entry["partition"]), entry["first"], entry["count"]
                 low, high = max(start.get(p, 0), first), min(end.get(p, 0), first + count)
-                for at in range(low, high, TASK_ROWS):
-                    made.append(Segment(entry["file"], entry["partition"], first, at - first, min(at + TASK_ROWS, high) - first))
+                rows = min(TASK_ROWS, max(1, count * TASK_BYTES // max(1, entry.get("bytes", 0))))
+                for at in range(low, high, rows):
+                    made.append(Segment(entry["file"], entry["partition"], first, at - first, min(at + rows, high) - first))
         return made
 
     def read(self, partition: Segment):
         import pyarrow as pa
 
         with self.files.system.open_input_file(f"{self.files.root}/{partition.file}") as file:
-            at = 0
-            for batch in pyarrow.parquet.ParquetFile(file).iter_batches(columns=["key", "value", "timestamp"]):
+            # a stretch at a time: whole columns of a file in every worker would be most of an executor's memory
+            parquet = pyarrow.parquet.ParquetFile(file, buffer_size=1 << 20, pre_buffer=False)
+            sizes = [parquet.metadata.row_group(k).num_rows for k in range(parquet.num_row_groups)]
+            begins = [sum(sizes[:k]) for k in range(len(sizes))]
+            groups = [k for k, at in enumerate(begins) if at < partition.end and at + sizes[k] > partition.begin]
+            at = begins[groups[0]] if groups else 0
+            for batch in parquet.iter_batches(HELD_ROWS, groups, ["key", "value", "timestamp"]):
                 low, high = max(partition.begin, at), min(partition.end, at + batch.num_rows)
                 if low < high:
                     own = batch.slice(low - at, high - low)

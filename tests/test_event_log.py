@@ -92,3 +92,28 @@ def test_an_empty_log(spark, tmp_path):
     out = {}
     run(event_log.log_stream(spark, str(tmp_path / "none"), "earliest"), out, tmp_path / "c")[0].awaitTermination()
     assert not any(out.values())
+
+
+def test_a_task_reads_a_bounded_stretch_of_a_file_a_little_at_a_time(tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet
+
+    values = [f"m{n}".encode() for n in range(5000)]
+    stamps = pa.array(range(5000), pa.timestamp("us", "UTC"))
+    table = pa.table({"key": [v.decode() for v in values], "value": values, "timestamp": stamps})
+    pyarrow.parquet.write_table(table, tmp_path / "file", row_group_size=700)
+    reader = event_log.EventLogReader({"path": str(tmp_path)})
+    reader._log = lambda: [{"ends": {"0": 5100}, "files": [{"partition": 0, "file": "file", "first": 100, "count": 5000, "bytes": 3 * event_log.TASK_BYTES}]}]
+    segments = reader.partitions({"0": 150}, {"0": 5100})
+    assert len(segments) == 3 and max(s.end - s.begin for s in segments) == 1666
+    batches = [list(reader.read(segment)) for segment in segments]
+    assert max(batch.num_rows for each in batches for batch in each) <= event_log.HELD_ROWS
+    found = [pair for each in batches for batch in each for pair in zip(batch["offset"].to_pylist(), batch["value"].to_pylist(), strict=True)]
+    assert found == [(100 + n, values[n]) for n in range(50, 5000)]
+
+
+def test_messages_are_not_gathered_by_partition(spark):
+    from newslens.plans.queries import src_article_stream
+
+    plan = src_article_stream(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
