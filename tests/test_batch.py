@@ -5,7 +5,9 @@ from datetime import datetime
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from newslens.operators.numbering import number_inserted
 from newslens.plans.batch import run_batch, stored
+from newslens.sources.providers import rejects
 from newslens.sources.tables import current
 
 ITEM = '{{"url":"{}","title":"{}","publishedAt":"2024-01-0{}T10:00:00Z"}}'
@@ -39,3 +41,24 @@ def test_two_runs(spark, rows, tmp_path):
     assert (log["r1"].status, log["r2"].status) == ("partial_success", "success")
     assert log["r1"].error_message == "2 responses could not be used"
     assert current(spark, f"{root}/rejects").count() == 0
+
+
+def test_inserted_rows_are_worked_out_once(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    merged = rows([(7, "old"), (None, "new"), (None, "newer")], "id bigint, k string").mapInPandas(counting, "id bigint, k string")
+    numbered = number_inserted(merged, ["k"], "id", rows([(7,)], "id bigint"))
+    assert sorted(r.id for r in numbered.collect()) == [7, 8, 9]
+    assert seen.value == 3
+
+
+def test_rejects_are_listed_once_each(rows):
+    bodies = ['{"status":"ok","articles":[]}', '{"status":"error"}', '{"status":"error","articles":{}}', "torn {", " ", None, '{"status":"error"}']
+    listed = [tuple(r) for r in rejects(rows([(b,) for b in bodies], "body string")).collect()]
+    expected = [(bodies[1], bodies[1]), (bodies[2], "articles is not a list"), ("torn {", "not json"), (" ", "blank body"), (None, "blank body"), (bodies[6], bodies[6])]
+    assert sorted(map(str, listed)) == sorted(map(str, expected))
