@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from newslens.functions.sentiment import Scorer
+from newslens.functions.text import article_text
 from newslens.sources.envelope import normalize_events, parse_envelope
 from newslens.streaming.dedup import dedup_stream_url, dedup_stream_url_bounded, use_disk_state
 from newslens.streaming.sink import RealtimeTables, micro_batch_writer
@@ -16,9 +17,13 @@ TRIGGER = "45 seconds"
 
 
 def clean_events(messages: DataFrame, dedup_within: str | None = None) -> DataFrame:
-    """Normalised events, the first per url; ``dedup_within`` bounds the state by time of arrival."""
-    events = normalize_events(parse_envelope(messages))
-    return dedup_stream_url_bounded(events, within=dedup_within) if dedup_within else dedup_stream_url(events)
+    """Normalised events, the first per url; ``dedup_within`` bounds the state by time of arrival.
+
+    The joined text is put together again behind the shuffle to the state, or every text would travel twice.
+    """
+    events = normalize_events(parse_envelope(messages)).drop("article_text")
+    first = dedup_stream_url_bounded(events, within=dedup_within) if dedup_within else dedup_stream_url(events)
+    return first.withColumn("article_text", article_text("title", "description", "content"))
 
 
 def start(

@@ -7,7 +7,8 @@ only the days it touches, not a directory of all batches there ever were.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -58,6 +59,19 @@ class RealtimeTables:
         return f"{self.root}/mart_company_sentiment_minute"
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the jobs of a micro-batch. The session of a stateful stream has it off for the stream's own plan, which is run by then,
+    and without it ``rebalance`` is dropped without a word: every task would write a file to every day."""
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def matched_rows(events: DataFrame, aliases: DataFrame, scorer: Scorer) -> DataFrame:
     """One scored row per (event, company) of a batch of normalised events."""
     return match_substring(events, aliases, per_alias_hit=False, scorer=scorer)
@@ -66,7 +80,7 @@ def matched_rows(events: DataFrame, aliases: DataFrame, scorer: Scorer) -> DataF
 def _write_batch(rows: DataFrame, path: str, batch_id: int, gone: set[date]) -> None:
     """Replace the rows of one batch: in the days it has, and by nothing in those only an earlier attempt had.
 
-    ``rebalance`` gives each day few files of even size, splitting a day that holds most of the batch.
+    ``rebalance`` gives each day few files of even size, splitting a day that holds most of the batch. It needs ``adaptive``.
     """
     overwrite_touched(rows.hint("rebalance", DAY), path, [DAY, "ingest_batch_id"])
     for day in gone:
@@ -102,7 +116,7 @@ def refresh_minutes(spark: SparkSession, tables: RealtimeTables, days: set[date]
     """
     rows = read_base(spark, tables, days)
     mart = minute_mart(rows, per_alias_hit=True).withColumn("bucket_date", F.col("bucket_minute").cast("date"))
-    overwrite_touched(mart, tables.minute, ["bucket_date"])
+    overwrite_touched(mart.hint("rebalance", "bucket_date"), tables.minute, ["bucket_date"])
     for day in days - _days(rows):
         overwrite_partition(mart.limit(0), tables.minute, "bucket_date", day)
 
@@ -138,16 +152,18 @@ def micro_batch_writer(
             .withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
             .withColumn("ingest_batch_id", F.lit(str(batch_id)))
             .withColumn(DAY, F.col("published_at_ts").cast("date"))
+            .select(*BASE_COLUMNS, DAY)
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         try:
-            days, earlier = _days(rows), _earlier_attempt(spark, tables, batch_id)
-            if not days and not earlier:
-                return
-            _note_attempt(rows, tables, batch_id, earlier)
-            _write_batch(rows.select(*BASE_COLUMNS, DAY), tables.base, batch_id, earlier - days)
-            _write_batch(rows.select(*MATCH_COLUMNS, "ingest_batch_id", DAY), tables.match, batch_id, earlier - days)
-            refresh_minutes(spark, tables, days | earlier)
+            with adaptive(spark):
+                days, earlier = _days(rows), _earlier_attempt(spark, tables, batch_id)
+                if not days and not earlier:
+                    return
+                _note_attempt(rows, tables, batch_id, earlier)
+                _write_batch(rows, tables.base, batch_id, earlier - days)
+                _write_batch(rows.select(*MATCH_COLUMNS, "ingest_batch_id", DAY), tables.match, batch_id, earlier - days)
+                refresh_minutes(spark, tables, days | earlier)
         finally:
             rows.unpersist()
 

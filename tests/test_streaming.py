@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import tuples
@@ -131,3 +132,14 @@ def test_bounded_dedup_lets_a_url_return_after_the_span(spark, tmp_path):
     deduplicated.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(out).awaitTermination()
     got = spark.read.parquet(out).groupBy("url_hash").count()
     assert tuples(got, "url_hash") == [("a", 2), ("b", 1), ("c", 1)]
+
+
+def test_a_batch_writes_few_files_to_a_day(spark, place, aliases):
+    """Adaptive execution is off in a stateful stream, and a rebalance without it is none: each task wrote to each day."""
+    folder, tables, checkpoint = place
+    land(folder, "1.json", [event(n, f"http://{n}", "tesla", f"2026-04-0{1 + n % 3}T10:00:{{:02d}}+00:00") for n in range(60)])
+    run(spark, folder, tables, aliases, checkpoint)
+    for table in (tables.base, tables.match, tables.minute):
+        folders = [file.parent for file in Path(table).rglob("*.parquet")]
+        assert len(folders) == len(set(folders)) == 3, table
+    assert sink.read_match(spark, tables).count() == 60
