@@ -1,5 +1,6 @@
 """Queries that need the mentions several times match the texts once."""
 
+from newslens.plans.corpus import Corpus
 from newslens.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -13,3 +14,16 @@ def batch_matches(df) -> int:
 
 def test_unified_reports_match_once(spark):
     assert batch_matches(QUERIES["tile_top_sources"](spark, SF)) == 1
+
+
+def test_refresh_reads_stored_tables_only(spark):
+    files = QUERIES["refresh_incremental"](spark, SF).inputFiles()
+    assert files and not [f for f in files if f.startswith(f"file://{SF}")]
+
+
+def test_stored_view_has_the_same_rows(spark):
+    made, stored = Corpus(spark, SF), Corpus(spark, SF).stored("articles", "mentions", "sentiment")
+    for name in ("articles", "mentions", "pairs", "sentiment"):
+        columns = getattr(made, name).columns
+        assert getattr(made, name).exceptAll(getattr(stored, name).select(*columns)).isEmpty(), name
+        assert getattr(made, name).count() == getattr(stored, name).count(), name
