@@ -1,5 +1,6 @@
 """Queries that need the mentions several times match the texts once."""
 
+from newslens.operators import late
 from newslens.plans.corpus import Corpus
 from newslens.plans.queries import QUERIES
 
@@ -16,6 +17,13 @@ def test_unified_reports_match_once(spark):
     assert batch_matches(QUERIES["tile_top_sources"](spark, SF)) == 1
 
 
+def test_stored_mentions_are_not_matched_again(spark, monkeypatch):
+    stored, written = late.stored, []
+    monkeypatch.setattr(late, "stored", lambda rows: (written.append(rows), stored(rows))[1])
+    QUERIES["latest_url_company_stored"](spark, SF)
+    assert [batch_matches(rows) for rows in written] == [0, 0]
+
+
 def test_refresh_reads_stored_tables_only(spark):
     files = QUERIES["refresh_incremental"](spark, SF).inputFiles()
     assert files and not [f for f in files if f.startswith(f"file://{SF}")]
