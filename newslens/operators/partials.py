@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newslens.functions.clock import time_bucket
-from newslens.sources.tables import path_exists, written_once
+from newslens.sources.tables import empty, path_exists, written_once
 
 PARTS = 4096  # a home is numbered in as many parts in parallel, so one that holds a third of all articles is no hot spot
 BATCH, DAY = "added_batch", "bucket_date"
@@ -127,4 +127,4 @@ class StoredPartials:
 
     def _stored(self, spark: SparkSession, table: str, ddl: str) -> DataFrame:
         path, schema = f"{self.root}/{table}", f"{ddl}, {BATCH} bigint"
-        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else empty(spark, schema)

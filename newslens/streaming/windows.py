@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from newslens.functions.clock import time_bucket
-from newslens.sources.tables import path_exists
+from newslens.sources.tables import empty, path_exists
 
 DELAY = "10 minutes"
 SHARDS = 16  # by the article's hash, so the articles of two shards are different and counts add up
@@ -121,7 +121,7 @@ def start(matched: DataFrame, root: str, checkpoint: str, delay: str = DELAY, tr
 
 def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     schema = f"{ddl}, {BATCH} bigint"
-    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else empty(spark, schema)
 
 
 def _time(ms: str) -> Column:

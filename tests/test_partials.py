@@ -77,3 +77,9 @@ def test_empty(spark, rows, tmp_path):
     stored = partials.StoredPartials(str(tmp_path / "p"))
     stored.add(rows([], DDL), 0)
     assert tuples(stored.mart(spark, "hour")) == []
+
+
+def test_first_batch_starts_no_worker_for_an_empty_table(spark, rows, tmp_path):
+    stored = partials.StoredPartials(str(tmp_path))._stored(spark, "numbers", partials.NUMBERS_DDL)
+    assert stored.isEmpty() and stored.schema == spark.createDataFrame([], f"{partials.NUMBERS_DDL}, {partials.BATCH} bigint").schema
+    assert "Scan ExistingRDD" not in stored._jdf.queryExecution().executedPlan().toString()
